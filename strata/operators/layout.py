@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strata.session import scratch_root, session_conf
 from strata.sources.tables import (
     append,
+    binned,
     day,
     drop_partitions,
     partition_values,
@@ -28,15 +29,6 @@ def recent(column: str, as_of: date | datetime | str, days: int) -> Column:
     return F.col(column) >= F.lit(day(as_of) - timedelta(days=days))
 
 
-def binned(df: DataFrame, partition_by: str) -> DataFrame:
-    """Rows regrouped so that each task writes one well-filled file of one partition.
-
-    Rebalancing is sized by AQE from real shuffle statistics: small partitions are merged, and a day
-    that holds a third of the table is cut into as many tasks as it needs.
-    """
-    return df.hint("rebalance", F.col(partition_by))
-
-
 def clustered(
     df: DataFrame, partition_by: str, cluster_by: tuple[str, ...], files: int | None = None
 ) -> DataFrame:
@@ -79,7 +71,7 @@ def compact(
         spark,
         spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_bytes * SHUFFLE_TO_FILE),
     ):
-        replace_partitions(spark, binned(_part(spark, path, where), partition_by), path, partition_by)
+        replace_partitions(spark, _part(spark, path, where), path, partition_by)
 
 
 def cluster(
@@ -93,7 +85,7 @@ def cluster(
     """Rewrite the matching partitions ordered by the cluster columns. Rows are unchanged."""
     files = max(1, -(-_bytes(spark, path, where) // target_bytes))
     ordered = clustered(_part(spark, path, where), partition_by, cluster_by, files)
-    replace_partitions(spark, ordered, path, partition_by)
+    replace_partitions(spark, ordered, path, partition_by, rebalance=False)
 
 
 def unexpired(df: DataFrame, partition_by: str, as_of: date | datetime | str, days: int) -> DataFrame:

@@ -71,15 +71,31 @@ class QualityGate:
     def evaluate(self, df: DataFrame) -> DataFrame:
         return df.withColumn(FAILURES_COL, self.failures())
 
-    def passing(self, df: DataFrame, keep_warnings: bool = False) -> DataFrame:
-        kept = df.filter(self.passes())
+    def _having(self, df: DataFrame, verdict: Column, computed: bool) -> DataFrame:
+        if not computed:
+            return df.filter(verdict)
+        # The optimizer copies a filter below the projection that makes its inputs, which would run
+        # every conversion once more per use. A term it may not move keeps the filter above.
+        stays = F.monotonically_increasing_id() >= 0
+        return df.withColumn("_verdict", verdict & stays).filter("_verdict").drop("_verdict")
+
+    def passing(
+        self, df: DataFrame, keep_warnings: bool = False, computed: bool = False
+    ) -> DataFrame:
+        """Rows that fail no error rule. Set `computed` when the checked columns are expensive
+        expressions (parsed text) rather than stored columns: they are then evaluated once, but the
+        rules are not pushed into a scan."""
+        kept = self._having(df, F.coalesce(self.passes(), F.lit(False)) if computed else self.passes(),
+                            computed)
         return self.evaluate(kept) if keep_warnings else kept
 
-    def quarantined(self, df: DataFrame) -> DataFrame:
-        return self.evaluate(df.filter(~F.coalesce(self.passes(), F.lit(False))))
+    def quarantined(self, df: DataFrame, computed: bool = False) -> DataFrame:
+        return self.evaluate(
+            self._having(df, ~F.coalesce(self.passes(), F.lit(False)), computed)
+        )
 
-    def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return self.passing(df), self.quarantined(df)
+    def split(self, df: DataFrame, computed: bool = False) -> tuple[DataFrame, DataFrame]:
+        return self.passing(df, computed=computed), self.quarantined(df, computed)
 
     def tally(self, df: DataFrame) -> DataFrame:
         """Rows failing each rule, in one pass and one output row per rule, zero counts included."""

@@ -75,9 +75,12 @@ def unwrap_trades(lines: DataFrame, line: Column | str = "value") -> DataFrame:
         F.map_contains_key("_outer", F.lit("data")),
         F.from_json(F.try_element_at("_outer", F.lit("data")), _MAP),
     ).otherwise(F.col("_outer"))
+    # Exploding a one-element array keeps the filter from being copied below the JSON parsing, which
+    # would parse every message several times.
     return (
         lines.select(outer.alias("_outer"))
-        .select(body.alias("message"))
+        .select(body.alias("_body"))
+        .select(F.explode(F.array("_body")).alias("message"))
         .filter(F.try_element_at("message", F.lit("e")) == "trade")
     )
 
@@ -99,25 +102,23 @@ def landing_trades(messages: DataFrame) -> DataFrame:
 
 
 def flatten_bars(lines: DataFrame, line: Column | str = "value") -> DataFrame:
-    """`{"bars": {symbol: [bar, ...]}}` replies -> one `message` map per bar, symbol under `S`."""
+    """`{"bars": {symbol: [bar, ...]}}` replies -> one `message` map per bar next to its symbol."""
     reply = F.from_json(as_col(line), f"bars map<string,array<{_MAP}>>")
     return (
-        lines.select(F.explode(reply["bars"]).alias("symbol", "_items"))
-        .select("symbol", F.explode("_items").alias("_item"))
-        .select(
-            F.map_concat(
-                F.map_filter("_item", lambda key, _: key != "S"),
-                F.create_map(F.lit("S"), F.col("symbol")),
-            ).alias("message")
-        )
+        # The outer form does not add a size check that would parse each reply once more.
+        lines.select(F.explode_outer(reply["bars"]).alias("symbol", "_items"))
+        .select("symbol", F.explode("_items").alias("message"))
     )
 
 
 def landing_bars(messages: DataFrame, timeframe: str = "1Min") -> DataFrame:
-    """`message` maps with wire keys -> typed landing columns plus `_extra`."""
+    """`message` maps with wire keys -> typed landing columns plus `_extra`.
+
+    The symbol is the one beside the message, if there is such a column, else the one inside.
+    """
     m = _Message(BAR_KEYS)
     return messages.select(
-        m.typed("symbol", "string"),
+        F.col("symbol") if "symbol" in messages.columns else m.typed("symbol", "string"),
         m.typed("bar_open_ts", "timestamp"),
         F.coalesce(m.text("timeframe"), F.lit(timeframe)).alias("timeframe"),
         *(m.typed(price, "double") for price in ("open", "high", "low", "close")),

@@ -189,7 +189,7 @@ FROM raw, (VALUES (0), (1)) AS g(d)"""))
 def flatten_bars(spark, sf_dir):
     rows = wire.flatten_bars(_bar_replies(spark, sf_dir))
     return rows.selectExpr(
-        "message['S'] AS symbol", "cast(message['x'] AS bigint) AS seq",
+        "symbol", "cast(message['x'] AS bigint) AS seq",
         "cast(message['v'] AS bigint) AS v",
     )
 
@@ -624,7 +624,7 @@ def _stored_trades(spark, sf_dir, label: str) -> str:
     """Clean trades written as a day-partitioned table in scratch."""
     path = scratch_path(spark, label)
     rows = inputs.clean_trades(spark, sf_dir).drop("_raw_json")
-    tables.append(layout.binned(rows, "event_date"), path, "event_date")
+    tables.append(tables.binned(rows, "event_date"), path, "event_date")
     return path
 
 

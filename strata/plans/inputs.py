@@ -58,13 +58,13 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trade_gate(AS_OF).passing(trades(spark, sf_dir))
+    return trade_gate(AS_OF).passing(trades(spark, sf_dir), computed=True)
 
 
 def quarantined_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Failed trades as a quarantine table that has been retried: entered when ingested, and the
     attempt counter (0..3) grows with how late the trade came in."""
-    failed = with_metadata(trade_gate(AS_OF).quarantined(trades(spark, sf_dir)), AS_OF)
+    failed = with_metadata(trade_gate(AS_OF).quarantined(trades(spark, sf_dir), computed=True), AS_OF)
     return failed.withColumns({
         "_quarantined_ts": F.col("ingest_ts"),
         "quarantined_date": F.to_date("ingest_ts"),

@@ -34,9 +34,9 @@ from strata.sources.tables import (
     replace_partitions,
     since,
     stage,
+    table_files,
 )
 
-
 Moment = datetime | str | None
 
 
@@ -113,7 +113,7 @@ def trades_to_silver_bars(spark: SparkSession, root: str, where: Column | None =
             F.col(spec.partition_by).isin(days) & (F.col("source") != "trade_rollup")
         )
         fresh = fresh.unionByName(conform(others, spec))
-    replace_partitions(spark, fresh, _path(root, spec), spec.partition_by, days)
+    replace_partitions(spark, fresh, _path(root, spec), spec.partition_by)
 
 
 def silver_to_gold_bars(
@@ -135,7 +135,7 @@ def silver_to_gold_bars(
     passing, failing = gold_bar_gate().split(built)
     replace_partitions(
         spark, conform(passing, spec), _path(root, spec), spec.partition_by,
-        partition_values(source, "event_date"), staged=False,
+        partition_values(source, "event_date"), reads_target=False,
     )
     clock = as_of or _now(spark)
     _enter(spark, conform(with_metadata(failing, clock), bad), root, bad, clock)
@@ -145,21 +145,20 @@ def _now(spark: SparkSession) -> datetime:
     return spark.sql("SELECT current_timestamp()").first()[0]
 
 
-def _gold(spark: SparkSession, df: DataFrame, root: str, name: str, days: list) -> None:
-    spec = table("gold", name)
-    replace_partitions(spark, conform(df, spec), _path(root, spec), spec.partition_by, days)
-
-
 def _silver_trades(spark: SparkSession, root: str, where: Column | None) -> DataFrame:
     trades = read_table(spark, table_path(root, "silver", "trades"))
     return trades if where is None else trades.filter(where)
 
 
+def _replace_gold(spark: SparkSession, df: DataFrame, root: str, name: str) -> None:
+    spec = table("gold", name)
+    replace_partitions(spark, conform(df, spec), _path(root, spec), spec.partition_by)
+
+
 def trades_to_daily_volume(spark: SparkSession, root: str, where: Column | None = None) -> None:
     """Daily volume of the selected days (`where` on event_date), replacing those days."""
-    trades = _silver_trades(spark, root, where)
-    days = partition_values(trades, "event_date")
-    _gold(spark, daily_volume(trades), root, "daily_volume_profile", days)
+    _replace_gold(spark, daily_volume(_silver_trades(spark, root, where)), root,
+                  "daily_volume_profile")
 
 
 def trades_to_market_quality(
@@ -173,7 +172,7 @@ def trades_to_market_quality(
     elif where is not None:
         bad = bad.filter(where)
     quality = with_metric_date(market_quality_with_quarantine(trades, bad))
-    _gold(spark, quality, root, "market_quality", partition_values(trades, "event_date"))
+    _replace_gold(spark, quality, root, "market_quality")
 
 
 def replay_quarantine(
@@ -206,8 +205,9 @@ def replay_quarantine(
     )
     replace_partitions(
         spark, run.remaining(), path, spec.partition_by,
-        partition_values(quarantine, spec.partition_by), staged=False,
+        partition_values(quarantine, spec.partition_by), reads_target=False,
     )
+    _log(spark, root, as_of, "replay", spec, **counters)
     return counters
 
 
@@ -215,42 +215,63 @@ def _clean_name(layer: str, kind: str) -> str:
     return "bars_1m" if layer == "gold" else kind
 
 
+def _log(spark, root: str, run_ts: Moment, operation: str, spec: TableSpec, **metrics: int) -> None:
+    log = table("gold", "maintenance_metrics")
+    layout.log_run(
+        spark, _path(root, log), run_ts or _now(spark), operation, spec.layer, spec.name, metrics
+    )
+
+
+def _file_count(spark: SparkSession, path: str, where: Column | None) -> int:
+    files = table_files(spark, path)
+    return (files if where is None else files.filter(where)).count()
+
+
+def _optimize(
+    spark: SparkSession, root: str, spec: TableSpec, where: Column | None, target_bytes: int,
+    run_ts: Moment,
+) -> None:
+    path = _path(root, spec)
+    before = _file_count(spark, path, where)
+    if spec.cluster_by:
+        layout.cluster(spark, path, spec.partition_by, spec.cluster_by, where, target_bytes)
+    else:
+        layout.compact(spark, path, spec.partition_by, where, target_bytes)
+    _log(spark, root, run_ts, "cluster" if spec.cluster_by else "compact", spec,
+         files_before=before, files_after=_file_count(spark, path, where))
+
+
 def optimize_hot(
     spark: SparkSession, root: str, as_of: date | datetime | str, layer: str = "silver",
     name: str = "trades", days: int = 2, target_bytes: int = layout.TARGET_FILE_BYTES,
+    run_ts: Moment = None,
 ) -> None:
     """Compact the newest day partitions; tables with cluster columns are clustered as well."""
     spec = table(layer, name)
     where = layout.recent(spec.partition_by, as_of, days)
-    _optimize(spark, _path(root, spec), spec, where, target_bytes)
+    _optimize(spark, root, spec, where, target_bytes, run_ts)
 
 
 def optimize_all(
     spark: SparkSession, root: str, layer: str = "silver", name: str = "trades",
-    target_bytes: int = layout.TARGET_FILE_BYTES,
+    target_bytes: int = layout.TARGET_FILE_BYTES, run_ts: Moment = None,
 ) -> None:
     """Cluster a whole table by its registered columns."""
-    spec = table(layer, name)
-    _optimize(spark, _path(root, spec), spec, None, target_bytes)
-
-
-def _optimize(spark, path: str, spec: TableSpec, where: Column | None, target_bytes: int) -> None:
-    if spec.cluster_by:
-        layout.cluster(spark, path, spec.partition_by, spec.cluster_by, where, target_bytes)
-    else:
-        layout.compact(spark, path, spec.partition_by, where, target_bytes)
+    _optimize(spark, root, table(layer, name), None, target_bytes, run_ts)
 
 
 def enforce_retention(
     spark: SparkSession, root: str, as_of: date | datetime | str, layer: str = "silver",
-    name: str = "trades", archive: bool = True,
+    name: str = "trades", archive: bool = True, run_ts: Moment = None,
 ) -> int:
     """Apply a table's registered retention; tables without one are kept for ever."""
     spec = table(layer, name)
     if spec.keep_days is None:
         return 0
     path = _path(root, spec)
-    return layout.expire(
+    dropped = layout.expire(
         spark, path, spec.partition_by, as_of, spec.keep_days,
         f"{path}_archive" if archive else None,
     )
+    _log(spark, root, run_ts, "expire", spec, partitions_dropped=dropped)
+    return dropped

@@ -130,9 +130,10 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
-def conform(df: DataFrame, spec: TableSpec | str) -> DataFrame:
+def conform(df: DataFrame, shape: TableSpec | StructType | str) -> DataFrame:
     """Project onto a declared schema: fixed order and types, absent columns NULL, extras dropped."""
-    fields = (spec.schema if isinstance(spec, TableSpec) else StructType.fromDDL(spec)).fields
+    schema = StructType.fromDDL(shape) if isinstance(shape, str) else shape
+    fields = (schema.schema if isinstance(schema, TableSpec) else schema).fields
     have = set(df.columns)
     return df.select(
         *(

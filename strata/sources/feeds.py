@@ -88,6 +88,18 @@ def rescued_fields(evolving: DataFrame) -> DataFrame:
     )
 
 
+def observed_schema(evolving: DataFrame) -> DataFrame:
+    """One row: the merged schema of all raw records, as Spark's variant type describes it."""
+    return evolving.agg(
+        F.schema_of_variant_agg(F.try_parse_json("_raw")).alias("observed_schema")
+    )
+
+
+def promoted(schema: str, fields: dict[str, str]) -> str:
+    """The declared schema with rescued fields added as columns, for the next start of the scan."""
+    return ", ".join([schema, *(f"{name} {dtype}" for name, dtype in fields.items())])
+
+
 def raw_field(field: str, dtype: str = "string", raw_col: str = "_raw") -> Column:
     """A field recovered from the raw record, whatever schema the row was read with."""
     return F.get_json_object(raw_col, f"$.{field}").try_cast(dtype)

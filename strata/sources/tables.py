@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.wire import last_per_key
+from strata.schemas import conform
 from strata.session import scratch_path
 
 FORMAT = "parquet"
@@ -64,11 +65,27 @@ def _partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def binned(df: DataFrame, partition_by: str) -> DataFrame:
+    """Rows regrouped so that each task writes one well-filled file of one partition.
+
+    After a shuffle on other keys every task holds rows of every day, and would write a small file
+    for each. Rebalancing is sized by AQE from real shuffle statistics: small partitions are merged,
+    and a day that holds a third of the table is cut into as many tasks as it needs.
+    """
+    return df.hint("rebalance", F.col(partition_by))
+
+
 def append(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = FORMAT) -> None:
     writer = df.write.format(fmt).mode("append")
     (writer.partitionBy(partition_by) if partition_by else writer).save(path)
 
 
+def overwrite(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = FORMAT) -> None:
+    """Replace a whole table by a frame that does not read it."""
+    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(partition_by) if partition_by else writer).save(path)
+
+
 def append_missing(
     df: DataFrame, path: str, partition_by: str, days: list, former: Column
 ) -> None:
@@ -80,16 +97,10 @@ def append_missing(
     existing = read_if_exists(df.sparkSession, path)
     if existing is not None:
         left = existing.filter(_partition_filter(partition_by, days) & former)
-        df = df.exceptAll(left.select(*(F.col(f.name).cast(f.dataType) for f in df.schema)))
+        df = df.exceptAll(conform(left, df.schema))
     append(df, path, partition_by)
 
 
-def overwrite(df: DataFrame, path: str, partition_by: str | None = None, fmt: str = FORMAT) -> None:
-    """Replace a whole table by a frame that does not read it."""
-    writer = df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
-    (writer.partitionBy(partition_by) if partition_by else writer).save(path)
-
-
 def _partition_filter(column: str, values: list) -> Column:
     """Literals, so that the scan prunes directories before it starts."""
     known = [v for v in values if v is not None]
@@ -120,29 +131,31 @@ def replace_partitions(
     path: str,
     partition_by: str,
     scope: list | None = None,
-    staged: bool = True,
+    reads_target: bool = True,
+    rebalance: bool = True,
 ) -> None:
-    """Swap in new content for the partitions that `df` holds.
+    """Swap in new content for the partitions that `df` holds; other partitions stay.
+
+    `df` may read the table itself: Spark writes all new files aside and swaps the partitions when
+    the job commits, so nothing is deleted while it is read. Executors may be lost at any time; a
+    driver lost during the swap itself leaves the new files in the table's `.spark-staging-*` folder.
 
-    `staged` writes the new content to shared scratch first and swaps from there. It is needed when
-    `df` reads the table itself: a failed swap can then be repeated from the staged copy, and the
-    scan never sees files being deleted. `scope` names the partitions the new content stands for;
-    those it left empty are dropped, which a dynamic overwrite alone would keep.
+    `scope` names the partitions the new content stands for, and those it left empty are dropped,
+    which the overwrite alone would keep. Finding them reads `df` again, so a frame that reads the
+    table is staged first in that case.
     """
-    source = df
-    if staged:
-        staging = scratch_path(spark, "replace")
-        append(df, staging, partition_by)
-        source = spark.read.schema(df.schema).parquet(staging)
+    if scope is not None and reads_target:
+        df = stage(spark, df, "replace")
     (
-        source.write.format(FORMAT)
+        (binned(df, partition_by) if rebalance else df)
+        .write.format(FORMAT)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_by)
         .save(path)
     )
     if scope is not None:
-        filled = set(partition_values(source, partition_by))
+        filled = set(partition_values(df, partition_by))
         drop_partitions(spark, path, partition_by, [v for v in scope if v not in filled])
 
 
@@ -221,12 +234,12 @@ def insert_new(
     """
     existing = read_if_exists(spark, path)
     if existing is None:
-        append(last_per_key(incoming, key, order), path, partition_by)
+        append(binned(last_per_key(incoming, key, order), partition_by), path, partition_by)
         return
     latest = stage(spark, last_per_key(incoming, key, order), "insert")
     touched = partition_values(latest, partition_by)
     nearby = existing.filter(_partition_filter(partition_by, touched))
-    append(new_rows(nearby, latest, key), path, partition_by)
+    append(binned(new_rows(nearby, latest, key), partition_by), path, partition_by)
 
 
 def upsert(
@@ -245,7 +258,7 @@ def upsert(
     """
     existing = read_if_exists(spark, path)
     if existing is None:
-        append(last_per_key(incoming, key, order), path, partition_by)
+        append(binned(last_per_key(incoming, key, order), partition_by), path, partition_by)
         return
     latest = stage(spark, last_per_key(incoming, key, order), "upsert")
     touched = set(partition_values(latest, partition_by))
@@ -254,9 +267,10 @@ def upsert(
             latest.select(*key).alias("n"), _key_match("e", "n", key), "left_semi"
         )
         touched |= set(partition_values(holding, partition_by))
-    scope = list(touched)
-    nearby = existing.filter(_partition_filter(partition_by, scope))
-    replace_partitions(spark, merged_rows(nearby, latest, key), path, partition_by, scope)
+    nearby = existing.filter(_partition_filter(partition_by, list(touched)))
+    # Without moves every touched partition keeps at least its incoming rows.
+    emptied = list(touched) if moves else None
+    replace_partitions(spark, merged_rows(nearby, latest, key), path, partition_by, emptied)
 
 
 def table_files(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:

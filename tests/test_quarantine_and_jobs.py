@@ -144,3 +144,6 @@ def test_maintenance_jobs(spark, root):
     assert read(spark, root, "silver/trades").count() == 10
     assert read(spark, root, "silver/trades_archive").count() == 10
     assert jobs.enforce_retention(spark, root, "2030-01-01", "gold", "bars_1m") == 0
+    log = read(spark, root, "gold/maintenance_metrics").collect()
+    assert [r.value for r in log if r.metric == "partitions_dropped"] == [10]
+    assert {r.operation for r in log} == {"cluster", "expire"}

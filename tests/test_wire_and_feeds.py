@@ -104,6 +104,10 @@ def test_evolving_scan_loses_nothing(spark, tmp_path):
     recovered = df.select("trade_id", feeds.raw_field("is_self_match", "boolean").alias("m"))
     assert {r.trade_id: r.m for r in recovered.collect()} == {1: None, 2: True, None: None}
     assert feeds.scan_evolving(spark, str(tmp_path / "in"), BAR_WIRE).count() == 3
+    assert "is_self_match: BOOLEAN" in feeds.observed_schema(df).first().observed_schema
+    wider = feeds.promoted(TRADE_WIRE, {"is_self_match": "BOOLEAN"})
+    again = {r.trade_id: r for r in feeds.scan_evolving(spark, str(tmp_path / "in"), wider).collect()}
+    assert again[2].is_self_match is True and again[2]._rescued == {"note": '{"a":1}'}
 
 
 def test_replay_writes_in_time_order(spark, tmp_path):
