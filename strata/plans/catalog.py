@@ -21,9 +21,10 @@ from strata.operators.quarantine import Replay, with_metadata
 from strata.operators.typed import silver_bars
 from strata.plans import inputs, oracle
 from strata.plans.inputs import AS_OF, comparable
-from strata.schemas import TRADE_WIRE
+from strata.schemas import TRADE_WIRE, table_path
 from strata.session import configure, scratch_path
 from strata.sources import feeds, landing, tables
+from strata.streaming import ingest, refine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -664,6 +665,85 @@ def retention_archive(spark, sf_dir):
     return archived.select("trade_id", "event_date", "archive_run")
 
 
+# --------------------------------------------------------------------------- streams
+# Each runs the stream over everything available, stops, and returns the table it has written.
+
+
+def _finish(stream) -> None:
+    stream.awaitTermination()
+
+
+@query("stream_ingest", oracle.with_(oracle.TRADES, """
+SELECT 'trade' AS event_type, date_trunc('millisecond', event_ts) AS event_time, symbol, event_id AS trade_id,
+  CAST(price AS VARCHAR) AS price, CAST(CAST(quantity AS BIGINT) AS VARCHAR) AS quantity,
+  date_trunc('millisecond', event_ts) AS trade_time, buyer_is_maker, 'binance' AS _source FROM t"""))
+def stream_ingest(spark, sf_dir):
+    """Landing files into the Bronze table; the second start finds nothing new."""
+    base = scratch_path(spark, "stream-ingest")
+    landing.write_landing(
+        inputs.history(spark, sf_dir), f"{base}/landing/binance", datetime(2024, 2, 1)
+    )
+    for _ in range(2):
+        _finish(ingest.ingest(spark, "binance", f"{base}/landing", f"{base}/tables",
+                              f"{base}/checkpoints", available_now=True))
+    bronze = tables.read_table(spark, table_path(f"{base}/tables", "bronze", "binance_trades"))
+    return bronze.select(*inputs.wire_columns(), "_source")
+
+
+def _stream_refined(spark, sf_dir, name: str) -> DataFrame:
+    base = scratch_path(spark, "stream-refine")
+    bronze = inputs.bronze_trades(spark, sf_dir)
+    tables.append(tables.binned(bronze, "ingestion_date"), f"{base}/bronze", "ingestion_date")
+    source = refine.stream_bronze(spark, f"{base}/bronze", bronze.schema)
+    _finish(refine.refine(source, "trades", base, f"{base}/checkpoints", AS_OF, available_now=True))
+    return tables.read_table(spark, table_path(base, "silver", name))
+
+
+@query("stream_refine_clean", oracle.with_(oracle.CLEAN, f"SELECT {oracle.TRADE_COLS} FROM clean"))
+def stream_refine_clean(spark, sf_dir):
+    """The Silver half of the Bronze-to-Silver stream."""
+    return _stream_refined(spark, sf_dir, "trades").drop("_raw_json")
+
+
+@query("stream_refine_quarantine", oracle.with_(f"{oracle.TRADES},{oracle.FLAGS}", f"""
+SELECT trade_id, codes AS _quality_failures, CAST(0 AS INTEGER) AS _replay_attempts,
+  CAST(TIMESTAMP '{AS_OF}' AS DATE) AS quarantined_date FROM judged WHERE bad"""))
+def stream_refine_quarantine(spark, sf_dir):
+    """The quarantine half of the same stream."""
+    failed = _stream_refined(spark, sf_dir, "quarantine_trades")
+    return failed.select("trade_id", FAILURES_COL, "_replay_attempts", "quarantined_date")
+
+
+def _run_to_parquet(spark, stream: DataFrame, base: str) -> DataFrame:
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{base}/checkpoints")
+    _finish(writer.trigger(availableNow=True).start(f"{base}/out"))
+    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+
+
+@query("stream_dedup_bars", oracle.with_(oracle.RAW_BARS, "SELECT DISTINCT symbol, bar_open_ts FROM raw"))
+def stream_dedup_bars(spark, sf_dir):
+    """One row per polled bar key; which copy comes first is up to the stream."""
+    base = scratch_path(spark, "stream-dedup")
+    bars = inputs.bronze_bars(spark, sf_dir)
+    bars.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(bars.schema).parquet(f"{base}/in")
+    kept = _run_to_parquet(spark, refine.dedup_bars(stream), base)
+    return kept.select("symbol", "bar_open_ts")
+
+
+@query("stream_rolling_bars", oracle.with_(oracle.MINUTE, f"""
+SELECT bar_open_ts, symbol, 'crypto' AS asset_class, {oracle.BAR_COLS}, CAST(bar_open_ts AS DATE) AS event_date,
+  'trade_rollup' AS source, '1m' AS timeframe FROM minute
+WHERE bar_open_ts + INTERVAL 1 MINUTE <= (SELECT max(event_ts) FROM clean) - INTERVAL 5 MINUTE"""))
+def stream_rolling_bars(spark, sf_dir):
+    """One-minute bars as a stream: all bars the watermark has closed."""
+    base = scratch_path(spark, "stream-bars")
+    trades = inputs.clean_trades(spark, sf_dir).drop("_raw_json")
+    trades.write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(trades.schema).parquet(f"{base}/in")
+    return _run_to_parquet(spark, refine.rolling_bars(stream), base)
+
+
 # --------------------------------------------------------------------------- health
 
 

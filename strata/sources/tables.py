@@ -178,11 +178,10 @@ def high_watermark(df: DataFrame, ts_col: str = "_ingest_ts") -> DataFrame:
     return df.agg(F.max(ts_col).alias("high_watermark"))
 
 
-def _key_match(left: str, right: str, key: tuple[str, ...]) -> Column:
-    match = F.lit(True)
-    for c in key:
-        match = match & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return match
+def _key_match(left: str, right: str, key: tuple[str, ...]) -> list[Column]:
+    """Plain equality, as in SQL MERGE: a NULL in the key matches nothing. It lets the join use the
+    partitioning an aggregate on the same key has left."""
+    return [F.col(f"{left}.{c}") == F.col(f"{right}.{c}") for c in key]
 
 
 def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.sources.tables import append, append_missing, partition_values
+from strata.sources.tables import append, append_missing, read_if_exists
 
 TRIGGER_SECONDS = 30
 
@@ -27,14 +27,20 @@ class BatchAppender:
         self.may_repeat = True
 
     def write(self, batch: DataFrame) -> None:
-        if self.may_repeat:
-            low, high = batch.agg(F.min(self.ts_col), F.max(self.ts_col)).first()
-            days = partition_values(batch, self.partition_by)
+        if self.may_repeat and read_if_exists(batch.sparkSession, self.path) is not None:
+            # One pass over the batch; the set holds its day partitions.
+            low, high, days, undated = batch.agg(
+                F.min(self.ts_col),
+                F.max(self.ts_col),
+                F.collect_set(self.partition_by),
+                F.count_if(F.col(self.partition_by).isNull()),
+            ).first()
             former = F.col(self.ts_col).between(F.lit(low), F.lit(high))
-            append_missing(batch, self.path, self.partition_by, days, former)
-            self.may_repeat = False
+            touched = [*days, None] if undated else days
+            append_missing(batch, self.path, self.partition_by, touched, former)
         else:
             append(batch, self.path, self.partition_by)
+        self.may_repeat = False
 
 
 def start(
