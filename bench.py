@@ -25,13 +25,13 @@ from strata.session import build_session, scratch_path  # noqa: E402
 from strata.sources import tables  # noqa: E402
 
 RUNS = int(os.environ.get("BENCH_RUNS", "7"))
-JOB_RUNS = int(os.environ.get("BENCH_JOB_RUNS", "3"))
+JOB_RUNS = int(os.environ.get("BENCH_JOB_RUNS", "2"))
 JOBS = (
     "silver_trades", "silver_quarantine_trades", "rules_trades", "bars_1m", "bars_5m", "bars_1h",
     "bars_1d", "bars_all_widths", "daily_volume", "daily_volume_bulk", "market_quality",
     "market_quality_full", "quarantine_replay_pass", "normalize_wire_trades", "normalize_wire_bars",
     "dedup_bars", "unique_bars", "table_metrics", "upsert_update", "compact_roundtrip",
-    "cluster_roundtrip",
+    "cluster_roundtrip", "stream_ingest",
 )
 
 

@@ -25,6 +25,7 @@ from strata.operators.rules import bar_gate, gold_bar_gate, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
 from strata.schemas import TableSpec, conform, table, table_path
 from strata.sources.tables import (
+    append,
     append_missing,
     day,
     insert_new,
@@ -60,12 +61,17 @@ def bronze_to_silver(
     last_ingest_ts: Moment = None,
     bronze_table: str | None = None,
     level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    unique: bool = True,
 ) -> None:
     """Type and split new Bronze rows of `trades` or `bars` into Silver and quarantine.
 
     The typed rows are persisted for the two writes; pass `level=None` for a backfill larger than the
     executors' disks, which then scans Bronze twice. The clock is fixed when the job starts, so both
     halves agree either way. Repeat a run that died with the same `as_of`.
+
+    Clean rows are inserted if their key is absent. `unique=False` appends them as they are, a job
+    without any shuffle, for a first load of a feed that is known to deliver once; such a run must
+    start from an empty Silver table when it is repeated.
     """
     names = {"trades": ("binance_trades", silver_trades), "bars": ("alpaca_bars", silver_bars)}
     default_table, normalise = names[kind]
@@ -77,9 +83,15 @@ def bronze_to_silver(
     try:
         gate = _gate(kind, clock)
         clean, bad = table("silver", kind), table("silver", f"quarantine_{kind}")
-        _insert(spark, gate.passing(typed), root, clean, ("ingest_ts",))
+        parsed = level is None
+        passing = gate.passing(typed, computed=parsed)
+        if unique:
+            _insert(spark, passing, root, clean, ("ingest_ts",))
+        else:
+            append(conform(passing, clean), _path(root, clean), clean.partition_by)
         # Failed rows may lack their key, so they are matched as whole rows of the same clock.
-        _enter(spark, conform(with_metadata(gate.quarantined(typed), clock), bad), root, bad, clock)
+        failed = with_metadata(gate.quarantined(typed, computed=parsed), clock)
+        _enter(spark, conform(failed, bad), root, bad, clock)
     finally:
         if level is not None:
             typed.unpersist()
@@ -141,8 +153,9 @@ def silver_to_gold_bars(
     _enter(spark, conform(with_metadata(failing, clock), bad), root, bad, clock)
 
 
-def _now(spark: SparkSession) -> datetime:
-    return spark.sql("SELECT current_timestamp()").first()[0]
+def _now(spark: SparkSession) -> str:
+    """The present as text in the session's zone, free of the Python process's own zone."""
+    return spark.sql("SELECT cast(current_timestamp() AS string)").first()[0]
 
 
 def _silver_trades(spark: SparkSession, root: str, where: Column | None) -> DataFrame:

@@ -42,7 +42,7 @@ def refine(
     def write(batch: DataFrame, batch_id: int) -> None:
         typed = normalise(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            clock = as_of or typed.agg(F.max("ingest_ts")).first()[0]
+            clock = as_of or typed.agg(F.max("ingest_ts").cast("string")).first()[0]
             if clock is None:
                 return
             gate = trade_gate(clock) if kind == "trades" else bar_gate()

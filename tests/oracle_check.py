@@ -36,9 +36,26 @@ def _same(left, right) -> bool:
     return type(left) is type(right) and left == right
 
 
+SAME_TYPE = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
+def type_differences(df, con, sql: str) -> list[str]:
+    described = {name: kind for name, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [
+        f"{name}: {kind} != {described.get(name)}"
+        for name, kind in df.dtypes
+        if SAME_TYPE.get(kind) != described.get(name)
+    ]
+
+
 def compare(spark, con, build, sql: str, sf_dir: str) -> str | None:
     """None when both give the same columns and rows, else what differs."""
     df = build(spark, sf_dir)
+    if wrong := type_differences(df, con, sql):
+        return f"types {wrong}"
     got = _rows(df.columns, df.collect())
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]

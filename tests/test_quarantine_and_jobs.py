@@ -81,6 +81,13 @@ def test_silver_job_can_be_repeated(spark, root):
     assert read(spark, root, "silver/quarantine_trades").count() == 3
 
 
+def test_plain_append_keeps_repeated_trades(spark, root):
+    put_bronze(spark, root, ROWS)
+    jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF, level=None, unique=False)
+    got = sorted(r.trade_id for r in read(spark, root, "silver/trades").collect())
+    assert got == ["binance:1", "binance:1", "binance:2", "binance:3"]
+
+
 def test_whole_pipeline(spark, root):
     put_bronze(spark, root, ROWS)
     jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF)
