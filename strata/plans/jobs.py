@@ -24,6 +24,7 @@ from strata.operators.quarantine import Replay, with_metadata
 from strata.operators.rules import bar_gate, gold_bar_gate, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
 from strata.schemas import TableSpec, conform, table, table_path
+from strata.sources.feeds import feed_of
 from strata.sources.tables import (
     append,
     append_missing,
@@ -75,9 +76,10 @@ def bronze_to_silver(
     """
     names = {"trades": ("binance_trades", silver_trades), "bars": ("alpaca_bars", silver_bars)}
     default_table, normalise = names[kind]
+    feed = feed_of(bronze_table or default_table)
     clock = as_of or _now(spark)
-    bronze = read_table(spark, table_path(root, "bronze", bronze_table or default_table))
-    typed = normalise(since(bronze, last_ingest_ts))
+    bronze = read_table(spark, table_path(root, "bronze", feed.bronze_table))
+    typed = normalise(since(bronze, last_ingest_ts), feed.source, feed.asset_class)
     if level is not None:
         typed = typed.persist(level)
     try:
@@ -210,7 +212,7 @@ def replay_quarantine(
     counters = run.metrics().first().asDict()
     order = ("ingest_ts",) if layer == "silver" else ("bar_date",)
     _insert(spark, run.promoted(), root, target, order)
-    archive = f"{path}_archive"
+    archive = f"{path}_exhausted"
     leaving = run.archive()
     append_missing(
         leaving, archive, spec.partition_by, partition_values(leaving, spec.partition_by),

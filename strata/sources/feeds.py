@@ -32,6 +32,11 @@ FEEDS = {
 }
 
 
+def feed_of(bronze_table: str) -> Feed:
+    """The feed that fills a Bronze table."""
+    return next(feed for feed in FEEDS.values() if feed.bronze_table == bronze_table)
+
+
 def scan_jsonl(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Batch scan. Unknown fields are dropped and a malformed line gives a row of NULLs; without a
     schema Spark reads the files once more to infer one."""

@@ -13,18 +13,25 @@ from strata.functions.market import as_col
 RECORDS_PER_FILE = 1000
 
 
-def in_time_order(history: DataFrame, ts_col: str = "event_time") -> DataFrame:
+def in_time_order(
+    history: DataFrame, ts_col: str = "event_time", partitions: int | None = None
+) -> DataFrame:
     """The history as a totally ordered frame: range partitions, each sorted.
 
+    Without a number Spark takes the session's shuffle partitions and merges small ones; give one for
+    a history too large for those.
+
     A running number joins the range key, so rows sharing one timestamp can be cut into several
     partitions; it also keeps their original order.
     """
-    return (
-        history.withColumn("_seq", F.monotonically_increasing_id())
-        .repartitionByRange(ts_col, "_seq")
-        .sortWithinPartitions(ts_col, "_seq")
-        .drop("_seq")
+    order = (ts_col, "_seq")
+    numbered = history.withColumn("_seq", F.monotonically_increasing_id())
+    ranged = (
+        numbered.repartitionByRange(partitions, *order)
+        if partitions
+        else numbered.repartitionByRange(*order)
     )
+    return ranged.sortWithinPartitions(*order).drop("_seq")
 
 
 def replay_schedule(
@@ -50,6 +57,7 @@ def write_landing(
     written_at: datetime,
     ts_col: str = "event_time",
     records_per_file: int = RECORDS_PER_FILE,
+    partitions: int | None = None,
 ) -> str:
     """Time-ordered JSON-lines files in the day / hour / minute folder of the moment of writing.
 
@@ -59,7 +67,7 @@ def write_landing(
     """
     folder = f"{path.rstrip('/')}/{written_at:%Y-%m-%d/%H/%M}"
     (
-        in_time_order(records, ts_col)
+        in_time_order(records, ts_col, partitions)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", records_per_file)
         .json(folder)

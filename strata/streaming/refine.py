@@ -14,6 +14,7 @@ from strata.operators.quarantine import with_metadata
 from strata.operators.rules import bar_gate, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
 from strata.schemas import conform, table, table_path
+from strata.sources.feeds import FEEDS, Feed
 from strata.streaming.sinks import TRIGGER_SECONDS, BatchAppender, start
 
 
@@ -23,6 +24,7 @@ def refine(
     root: str,
     checkpoint: str,
     as_of: datetime | str | None = None,
+    feed: Feed | str | None = None,
     trigger_seconds: int = TRIGGER_SECONDS,
     available_now: bool = False,
 ) -> StreamingQuery:
@@ -30,9 +32,12 @@ def refine(
 
     A batch is typed once and persisted for its two writes. The clock of the rules and of the
     quarantine columns is the batch's newest ingest time unless `as_of` is given, so a repeated batch
-    makes the same decisions.
+    makes the same decisions. The feed gives source and asset class.
     """
-    normalise = {"trades": silver_trades, "bars": silver_bars}[kind]
+    normalise, usual_feed = {
+        "trades": (silver_trades, "binance"), "bars": (silver_bars, "alpaca"),
+    }[kind]
+    origin = feed if isinstance(feed, Feed) else FEEDS[feed or usual_feed]
     clean, bad = table("silver", kind), table("silver", f"quarantine_{kind}")
     clean_sink, bad_sink = (
         BatchAppender(table_path(root, spec.layer, spec.name), spec.partition_by, ts_col)
@@ -40,7 +45,7 @@ def refine(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        typed = normalise(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        typed = normalise(batch, origin.source, origin.asset_class).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             clock = as_of or typed.agg(F.max("ingest_ts").cast("string")).first()[0]
             if clock is None:

@@ -136,10 +136,35 @@ def test_replay_job(spark, root):
     last = jobs.replay_quarantine(spark, root, gate=relaxed, as_of=AS_OF)
     assert last["archived"] == 1
     assert tables.row_count(spark, f"{root}/silver/quarantine_trades") == 0
-    (gone,) = read(spark, root, "silver/quarantine_trades_archive").collect()
+    (gone,) = read(spark, root, "silver/quarantine_trades_exhausted").collect()
     assert (gone.trade_id, gone._replay_attempts) == ("binance:9002", 3)
 
 
+def test_historic_bars_keep_their_source(spark, root):
+    rows = spark.createDataFrame(
+        [("AAPL", datetime(2026, 4, 29), "1d", 1.0, 2.0, 0.5, 1.5, 1.4, 10)],
+        "symbol string, bar_open_ts timestamp, timeframe string, open double, high double, low double, "
+        "close double, adj_close double, volume bigint",
+    ).withColumns({"_ingest_ts": F.lit("2026-04-30 00:00:00").cast("timestamp"),
+                   "ingestion_date": F.lit(date(2026, 4, 30))})
+    tables.append(rows, f"{root}/bronze/yfinance_history", "ingestion_date")
+    jobs.bronze_to_silver(spark, root, "bars", AS_OF, bronze_table="yfinance_history")
+    (bar,) = read(spark, root, "silver/bars").collect()
+    assert (bar.source, bar.asset_class, bar.timeframe, bar.vwap) == ("yfinance", "stock", "1d", None)
+
+
+def test_quarantine_retention_and_replay_archive_are_apart(spark, root):
+    put_bronze(spark, root, [trade(1, symbol="DEMOUSDT")])
+    jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF)
+    for _ in range(3):
+        jobs.replay_quarantine(spark, root, as_of=AS_OF)
+    put_bronze(spark, root, [trade(2, symbol="DEMOUSDT")])
+    jobs.bronze_to_silver(spark, root, "trades", as_of="2026-05-02 00:00:00")
+    assert jobs.enforce_retention(spark, root, "2026-07-01", "silver", "quarantine_trades") == 1
+    assert read(spark, root, "silver/quarantine_trades_archive").count() == 2
+    assert read(spark, root, "silver/quarantine_trades_exhausted").count() == 1
+
+
 def test_maintenance_jobs(spark, root):
     put_bronze(spark, root, [trade(n, ts=f"2026-04-{10 + n:02d}T12:00:00Z") for n in range(20)])
     jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF)
