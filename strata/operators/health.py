@@ -83,7 +83,7 @@ def health_rates(
 ) -> DataFrame:
     """One row: quarantine ratio, late ratio and longest ingest lag over the last days.
 
-    Each part is a global aggregate over pruned day partitions; only their single rows are joined.
+    Each part is a global aggregate over pruned day partitions; the parts meet as scalar subqueries.
     """
     good = clean.filter(recent("event_date", as_of, days)).agg(
         F.count(F.lit(1)).alias("_good"),
@@ -97,9 +97,11 @@ def health_rates(
     lag = bronze.filter(recent("ingestion_date", as_of, days)).agg(
         F.max(seconds_between(F.col("_ingest_ts"), F.col("event_time"))).alias("max_ingest_lag_sec")
     )
-    ratio: Column = F.try_divide(F.col("_bad"), F.col("_good") + F.col("_bad"))
-    return good.crossJoin(bad).crossJoin(lag).select(
-        ratio.alias("quarantine_ratio"), "late_arrival_ratio", "max_ingest_lag_sec"
+    n_bad: Column = bad.scalar()
+    return good.select(
+        F.try_divide(n_bad, F.col("_good") + n_bad).alias("quarantine_ratio"),
+        "late_arrival_ratio",
+        lag.scalar().alias("max_ingest_lag_sec"),
     )
 
 
