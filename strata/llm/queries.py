@@ -8,12 +8,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, simhash
-from strata.llm.common import read
+from strata.llm import bpe, chat, decontaminate, langid, quality, simhash, toxicity
+from strata.llm.common import is_held_out, read
+from strata.sources.tables import stage
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", is_held_out("doc_id", 5, 0))
+    model = langid.fit(docs.filter(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    return langid.predict(docs, model, keep=("doc_id", "held_out"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", is_held_out("doc_id", 5, 0))
+    facts = stage(spark, quality.statistics(docs, keep=("doc_id", "held_out")), "quality-statistics")
+    labels = read(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(facts.filter("NOT held_out").join(labels, "doc_id").withColumnRenamed("doc_id", "id"))
+    scored = facts.select("doc_id", "held_out", model.score().alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").withColumn("held_out", is_held_out("doc_id", 3, 1))
+    labels = read(spark, sf_dir, "labels").filter(~is_held_out("doc_id", 3, 1))
+    model = toxicity.fit(docs, labels.select("doc_id", F.col("toxic").alias("label")))
+    scored = model.score(docs, keep=("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return rows.select(
@@ -33,9 +57,28 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "windows", "item_windows", "slots", "containment"
+    )
+
+
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT -7L AS conv_id, * FROM VALUES (0L, 'user', '{said}'), (1L, 'assistant', '{said}') AS t(turn, role, text)")
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.render(chat.fold(chat.log_of(turns))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_langid": op1_langid,
+    "op2_quality": op2_quality,
+    "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
     "op6_bpe": op6_bpe,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_chat": op8_chat,
 }
 # None of these has SQL that DuckDB can run; each is tested against a plain version in tests/llm.
 ORACLES: dict[str, str] = {}
