@@ -11,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.session import session_conf
+from strata.sources.tables import stage
+
 BATCH_ROWS = "500"
 
 
@@ -51,3 +54,9 @@ def worker_cache(key: Any, make: Callable[[], Any]) -> Any:
     if key not in kept:
         kept[key] = make()
     return kept[key]
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """`stage`, and let go of the shuffle files of the job that wrote it: nothing reads them again."""
+    with session_conf(df.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        return stage(df.sparkSession, df, label)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, langid, quality, simhash, toxicity
+from strata.llm import bpe, chat, decontaminate, langid, quality, simhash, suffixes, toxicity
 from strata.llm.common import is_held_out, read
 from strata.sources.tables import stage
 
@@ -71,6 +71,15 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.render(chat.fold(chat.log_of(turns))))
 
 
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffixes.without_repeats(read(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return left.select(
+        F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
@@ -79,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe": op6_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op8_chat": op8_chat,
+    "op9_suffixes": op9_suffixes,
 }
 # None of these has SQL that DuckDB can run; each is tested against a plain version in tests/llm.
 ORACLES: dict[str, str] = {}
