@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, chat, decontaminate, langid, quality, simhash, suffixes, toxicity
+from strata.llm import ann, bpe, chat, decontaminate, langid, quality, simhash, suffixes, toxicity
 from strata.llm.common import is_held_out, read
 from strata.sources.tables import stage
 
@@ -47,6 +47,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode(read(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, keep=("doc_id",))
     return bpe.decode(ids, RANKS).select(
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_simhash": op4_simhash,
+    "op5_ann": op5_ann,
     "op6_bpe": op6_bpe,
     "op7_decontaminate": op7_decontaminate,
     "op8_chat": op8_chat,
