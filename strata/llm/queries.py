@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, bpe, chat, decontaminate, langid, quality, simhash, suffixes, toxicity
-from strata.llm.common import is_held_out, read
+from strata.llm import ann, bpe, chat, decontaminate, langid, lm, quality, simhash, suffixes, toxicity
+from strata.llm.common import is_held_out, read, remainder
 from strata.sources.tables import stage
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -84,6 +84,12 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = lm.score(docs, remainder("doc_id", 7) != 2, is_held_out("doc_id", 7, 2))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontaminate": op7_decontaminate,
     "op8_chat": op8_chat,
     "op9_suffixes": op9_suffixes,
+    "op10_lm": op10_lm,
 }
 # None of these has SQL that DuckDB can run; each is tested against a plain version in tests/llm.
 ORACLES: dict[str, str] = {}
