@@ -145,3 +145,20 @@ def fit(labelled: DataFrame, per_class: int = 8_000, trees: int = 16, depth: int
     return Model(
         tuple(rules[i] for i in live), tuple(float(weights[i]) for i in live), float(lassoed.intercept)
     )
+
+
+def fit_documents(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = 8_000
+) -> Model:
+    """`fit` on the documents whose id has a 0/1 `label` in `labels`; only the sample's texts are read closely."""
+    known = labels.filter(F.col("label").isin(0, 1)).select(F.col(id_col).alias("id"), "label")
+    chosen = F.broadcast(balanced(known, per_class).drop("weight"))  # bounded by the size of the sample
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
+    return fit(statistics(texts, keep=("id", "label")), per_class)
+
+
+def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """All columns of `docs` and `score`, in one pass over the texts."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    found = statistics(docs.toDF(*names), names[docs.columns.index(text_col)], tuple(names))
+    return found.select(*names, model.score().alias("score")).toDF(*docs.columns, "score")

@@ -252,11 +252,24 @@ def repeats(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     return settle(whole.unionByName(induced).unionByName(hashed), "suffix-ranges")
 
 
+def _forward(text: bytes, at: int) -> int:
+    while at < len(text) and text[at] & 0xC0 == 0x80:
+        at += 1
+    return at
+
+
+def _back(text: bytes, at: int) -> int:
+    while 0 < at < len(text) and text[at] & 0xC0 == 0x80:
+        at -= 1
+    return at
+
+
 def without_repeats(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), crowd: int = CROWD
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), crowd: int = CROWD,
+    whole_characters: bool = False,
 ) -> DataFrame:
     """id and `keep` columns, `kept` (bytes that are left), `spans` (removed [start, end) byte runs) and
-    `n_bytes` of every row."""
+    `n_bytes` of every row. With `whole_characters` the runs shrink to UTF-8 character boundaries."""
     kept = [f"k{i}" for i in range(len(keep))]
     base = df.select(
         F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
@@ -276,6 +289,8 @@ def without_repeats(
                         merged[-1][1] = max(merged[-1][1], end)
                     else:
                         merged.append([start, end])
+                if whole_characters:
+                    merged = [run for run in ([_forward(text, a), _back(text, b)] for a, b in merged) if run[0] < run[1]]
                 edges = [0, *(e for run in merged for e in run), len(text)]
                 left.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
                 runs.append([{"start": a, "end": b} for a, b in merged])
@@ -290,3 +305,19 @@ def without_repeats(
     types = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in ["id", *kept]]
     schema = ", ".join([*types, "kept binary, spans array<struct<start: bigint, end: bigint>>, n_bytes bigint"])
     return map_batches(rows, work, schema).toDF("id", *keep, "kept", "spans", "n_bytes")
+
+
+def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """`docs` with repeated strings taken out of the texts and, if there is one, the length column renewed.
+
+    Only whole characters are removed, so what is left is valid text; NULL texts stay NULL."""
+    others = [c for c in docs.columns if c != text_col]
+    names = tuple(f"c{i}" for i in range(len(others)))
+    given = docs.select(*[F.col(c).alias(n) for c, n in zip(others, names, strict=True)], F.col(text_col).alias("text"))
+    marked = given.withColumn("blank", F.col("text").isNull())
+    left = without_repeats(marked, names[others.index(id_col)], "text", (*names, "blank"), whole_characters=True)
+    text = F.when(~F.col("blank"), F.decode("kept", "UTF-8"))
+    columns = {c: F.col(n) for c, n in zip(others, names, strict=True)} | {text_col: text}
+    if length_col in columns:
+        columns[length_col] = F.when(text.isNotNull(), F.length(text).cast("long")).otherwise(F.col(names[others.index(length_col)]))
+    return left.select(*[columns[c].alias(c) for c in docs.columns])
