@@ -49,12 +49,13 @@ def trade_order(ts: Column | str = "event_ts", trade_id: Column | str = "trade_i
     """One sortable number per trade: event time first, exchange sequence number second.
 
     Opening and closing prices need a total order, and a struct holding a string would push the
-    aggregate from hash to sort. A decimal of micros x 10^19 + sequence keeps the hash aggregate and
-    is exact for every 64-bit sequence number; ids without a number fall back to their hash.
+    aggregate from hash to sort. A decimal of micros x 2^64 + (sequence + 2^63) keeps the hash aggregate
+    and is exact for every 64-bit sequence number, negative ones too; ids without a number fall back to
+    their hash.
     """
     ident = as_col(trade_id)
     sequence = F.coalesce(
         F.substring_index(ident, ":", -1).try_cast("bigint"), F.xxhash64(ident)
     )
     micros = F.unix_micros(as_col(ts)).cast("decimal(19,0)")
-    return micros * F.lit(Decimal(10**19)) + sequence
+    return micros * F.lit(Decimal(2**64)) + (F.lit(Decimal(2**63)) + sequence)

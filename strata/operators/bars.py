@@ -96,6 +96,13 @@ def gold_bars(
 
 def gold_bars_together(
     bars_1m: DataFrame, timeframes: Iterable[str] = ("5m", "1h", "1d")
+) -> DataFrame:
+    """The bars of several widths that pass the Gold rules."""
+    return gold_bar_gate().passing(bars_together_unchecked(bars_1m, timeframes))
+
+
+def bars_together_unchecked(
+    bars_1m: DataFrame, timeframes: Iterable[str] = ("5m", "1h", "1d")
 ) -> DataFrame:
     """Several widths from one scan and one shuffle: each bar is expanded to its bucket per width,
     and the partial aggregate folds the copies together again inside the map task."""
@@ -107,5 +114,4 @@ def gold_bars_together(
         "bar_open_ts", "symbol", "asset_class", "open", "high", "low", "close", "volume", "vwap",
         "trade_count", F.inline(F.array(*wanted)).alias("timeframe", "_bucket"),
     )
-    rolled = _roll_up(source, ("timeframe",)).withColumn("bar_date", F.to_date("bar_open_ts"))
-    return gold_bar_gate().passing(rolled)
+    return _roll_up(source, ("timeframe",)).withColumn("bar_date", F.to_date("bar_open_ts"))

@@ -787,7 +787,10 @@ def quarantine_alert(spark, sf_dir):
     return health.quarantine_alert(health.table_metrics(_counted(spark, sf_dir)))
 
 
-_DRIVER_TABLES = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+_DRIVER_TABLES = (
+    "benchmark", "conversations", "customer", "documents", "embeddings", "events", "labels", "lineitem", "nation",
+    "orders", "pages", "part", "region", "supplier",
+)
 
 
 @query("table_counts", "\nUNION ALL ".join(

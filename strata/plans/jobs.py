@@ -1,34 +1,37 @@
 """The batch jobs between stored layers, as plain functions.
 
-Silver tables grow by insert-if-absent, Gold partitions are replaced by day, and quarantine is
-rewritten, so any job can be run again without adding a row twice.
+Silver tables grow by insert-if-absent, quarantine by content, Gold is replaced by whole days, so any job
+can be run again, at any time, without adding a row twice. A job reads the clock once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import layout
-from strata.operators.bars import bars_unchecked, one_minute_bars
+from strata.operators.bars import GOLD_TIMEFRAMES, bars_together_unchecked, bars_unchecked, one_minute_bars
 from strata.operators.profiles import (
     daily_volume,
     market_quality_with_quarantine,
     with_metric_date,
 )
 from strata.operators.quality import QualityGate
-from strata.operators.quarantine import Replay, with_metadata
-from strata.operators.rules import bar_gate, gold_bar_gate, trade_gate
+from strata.operators.quarantine import METADATA, Replay, with_metadata
+from strata.operators.rules import SHORT_TIMEFRAMES, bar_gate, gold_bar_gate, short_timeframe, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
 from strata.schemas import TableSpec, conform, table, table_path
 from strata.sources.feeds import feed_of
 from strata.sources.tables import (
     append,
     append_missing,
-    day,
+    binned,
+    content,
     insert_new,
     partition_values,
     read_if_exists,
@@ -37,6 +40,7 @@ from strata.sources.tables import (
     since,
     stage,
     table_files,
+    unseen,
 )
 
 Moment = datetime | str | None
@@ -46,6 +50,10 @@ def _path(root: str, spec: TableSpec) -> str:
     return table_path(root, spec.layer, spec.name)
 
 
+def _read(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    return read_table(spark, _path(root, spec), schema=spec.schema)
+
+
 def _gate(kind: str, as_of: Moment) -> QualityGate:
     return trade_gate(as_of) if kind == "trades" else bar_gate()
 
@@ -68,7 +76,8 @@ def bronze_to_silver(
 
     The typed rows are persisted for the two writes; pass `level=None` for a backfill larger than the
     executors' disks, which then scans Bronze twice. The clock is fixed when the job starts, so both
-    halves agree either way. Repeat a run that died with the same `as_of`.
+    halves agree either way. A failed row that is in quarantine, was archived from it or was promoted from it
+    is known by its content and does not enter again.
 
     Clean rows are inserted if their key is absent. `unique=False` appends them as they are, a job
     without any shuffle, for a first load of a feed that is known to deliver once; such a run must
@@ -78,8 +87,10 @@ def bronze_to_silver(
     default_table, normalise = names[kind]
     feed = feed_of(bronze_table or default_table)
     clock = as_of or _now(spark)
-    bronze = read_table(spark, table_path(root, "bronze", feed.bronze_table))
+    bronze = _read(spark, root, table("bronze", feed.bronze_table))
     typed = normalise(since(bronze, last_ingest_ts), feed.source, feed.asset_class)
+    if kind == "bars":
+        typed = typed.withColumn("timeframe", short_timeframe())
     if level is not None:
         typed = typed.persist(level)
     try:
@@ -91,40 +102,58 @@ def bronze_to_silver(
             _insert(spark, passing, root, clean, ("ingest_ts",))
         else:
             append(conform(passing, clean), _path(root, clean), clean.partition_by)
-        # Failed rows may lack their key, so they are matched as whole rows of the same clock.
         failed = with_metadata(gate.quarantined(typed, computed=parsed), clock)
-        _enter(spark, conform(failed, bad), root, bad, clock)
+        _enter(spark, conform(failed, bad), root, bad, promoted_to=clean)
     finally:
         if level is not None:
             typed.unpersist()
 
 
-def _enter(spark: SparkSession, failed: DataFrame, root: str, spec: TableSpec, clock) -> None:
-    """Add quarantine entries, except those a former run with the same clock has left."""
-    stamp = F.lit(str(clock)).cast("timestamp")
-    append_missing(
-        failed, _path(root, spec), spec.partition_by,
-        [day(str(clock))],
-        F.col("_quarantined_ts") == stamp,
-    )
+def _enter(
+    spark: SparkSession, failed: DataFrame, root: str, spec: TableSpec, promoted_to: TableSpec | None = None
+) -> None:
+    """Add quarantine entries, except rows that are there, have left it for good or were promoted.
+
+    Rows may lack their key, so they are matched by everything but the quarantine's own columns."""
+    failed = stage(spark, failed, "failed")
+    columns = [c for c in spec.schema.names if c not in METADATA]
+    known = [
+        read_if_exists(spark, _path(root, spec), schema=spec.schema),
+        read_if_exists(spark, f"{_path(root, spec)}_exhausted", schema=spec.schema),
+    ]
+    if promoted_to is not None:
+        clean = read_if_exists(spark, _path(root, promoted_to), schema=promoted_to.schema)
+        if clean is not None:
+            days = [d for d in partition_values(failed, promoted_to.partition_by) if d is not None]
+            known.append(clean.filter(F.col(promoted_to.partition_by).isin(days)))
+    fresh = unseen(failed, [k for k in known if k is not None], columns)
+    append(binned(fresh, spec.partition_by), _path(root, spec), spec.partition_by)
+
+
+def _whole_days(df: DataFrame, where: Column | None, column: str = "event_date") -> tuple[DataFrame, list]:
+    """All rows of the days that a condition touches, and the days: a replaced day is built from all of it."""
+    days = partition_values(df if where is None else df.filter(where), column)
+    if where is None:
+        return df, days
+    known = [d for d in days if d is not None]
+    kept = F.col(column).isin(known) if known else F.lit(False)
+    return df.filter(kept | F.col(column).isNull() if None in days else kept), days
 
 
 def trades_to_silver_bars(spark: SparkSession, root: str, where: Column | None = None) -> None:
-    """One-minute bars of Silver trades into Silver bars, replacing the days they cover.
+    """One-minute bars of Silver trades into Silver bars, replacing the days that `where` touches.
 
     Bars of other sources in those days are kept.
     """
-    trades = read_table(spark, table_path(root, "silver", "trades"))
+    trades, days = _whole_days(_read(spark, root, table("silver", "trades")), where)
     spec = table("silver", "bars")
-    rolled = one_minute_bars(trades if where is None else trades.filter(where)).withColumn(
-        "ingest_ts", F.current_timestamp()
-    )
+    rolled = one_minute_bars(trades).withColumn("ingest_ts", F.lit(_now(spark)).cast("timestamp"))
     fresh = stage(spark, conform(rolled, spec), "rolled-bars")
-    days = partition_values(fresh, spec.partition_by)
-    existing = read_if_exists(spark, _path(root, spec))
+    existing = read_if_exists(spark, _path(root, spec), schema=spec.schema)
     if existing is not None:
         others = existing.filter(
-            F.col(spec.partition_by).isin(days) & (F.col("source") != "trade_rollup")
+            F.col(spec.partition_by).isin([d for d in days if d is not None])
+            & ~F.col("source").eqNullSafe("trade_rollup")
         )
         fresh = fresh.unionByName(conform(others, spec))
     replace_partitions(spark, fresh, _path(root, spec), spec.partition_by)
@@ -133,26 +162,61 @@ def trades_to_silver_bars(spark: SparkSession, root: str, where: Column | None =
 def silver_to_gold_bars(
     spark: SparkSession,
     root: str,
-    timeframe: str = "1m",
+    timeframe: str | Iterable[str] = "1m",
     where: Column | None = None,
     as_of: Moment = None,
 ) -> None:
-    """Bars of one width for the selected days; failing bars go to the Gold quarantine.
+    """Bars of one or several widths for the days that `where` touches, from one scan of Silver.
 
-    `where` is a condition on event_date. A day's bars are built from all its one-minute bars, so
-    whole days are replaced.
+    The days are replaced in the Gold tables, and so are their failing bars in the Gold quarantine.
     """
-    bars = read_table(spark, table_path(root, "silver", "bars"))
-    source = bars if where is None else bars.filter(where)
-    spec, bad = table("gold", f"bars_{timeframe}"), table("gold", "quarantine_bars")
-    built = stage(spark, bars_unchecked(source, timeframe), f"bars-{timeframe}")
+    widths = [timeframe] if isinstance(timeframe, str) else list(timeframe)
+    source, days = _whole_days(_read(spark, root, table("silver", "bars")), where)
+    bad = table("gold", "quarantine_bars")
+    columns = [f.name for f in table("gold", "bars_1m").schema.fields]
+    parts = [conform(bars_unchecked(source, width), table("gold", f"bars_{width}")) for width in widths if width == "1m"]
+    wide = [width for width in widths if width != "1m"]
+    if wide:
+        parts.append(conform(bars_together_unchecked(source, wide), table("gold", "bars_1m")))
+    built = stage(spark, reduce(DataFrame.unionByName, parts).select(*columns), "gold-bars")
     passing, failing = gold_bar_gate().split(built)
+    for width in widths:
+        spec = table("gold", f"bars_{width}")
+        replace_partitions(
+            spark, conform(passing.filter(F.col("timeframe").isin(_spellings(width))), spec), _path(root, spec),
+            spec.partition_by, days, reads_target=False,
+        )
+    entries = conform(with_metadata(failing, as_of or _now(spark)), bad)
+    _replace_entries(spark, root, bad, entries, widths, days)
+
+
+def _spellings(width: str) -> list[str]:
+    return [width, *(long for long, short in SHORT_TIMEFRAMES.items() if short == width)]
+
+
+def _replace_entries(spark: SparkSession, root: str, bad: TableSpec, entries: DataFrame, widths: list[str], days: list) -> None:
+    """Put new entries in the place of the quarantined bars of some widths and days.
+
+    A bar that failed before as it does now keeps its entry and attempts; one that was archived stays away."""
+    path, columns = _path(root, bad), [c for c in bad.schema.names if c not in METADATA]
+    archived = read_if_exists(spark, f"{path}_exhausted", schema=bad.schema)
+    entries = stage(spark, unseen(entries, [] if archived is None else [archived], columns), "gold-failed")
+    existing = read_if_exists(spark, path, schema=bad.schema)
+    if existing is None:
+        append(binned(entries, bad.partition_by), path, bad.partition_by)
+        return
+    spelled = [s for width in widths for s in _spellings(width)]
+    rebuilt = F.col("timeframe").isin(spelled) & F.col("bar_date").isin([d for d in days if d is not None])
+    former = stage(spark, existing.filter(rebuilt), "gold-entries")
+    same = former.join(entries.select(content(*columns).alias("_now")).distinct(), content(*columns) == F.col("_now"), "left_semi")
+    fresh = unseen(entries, [former], columns)
+    touched = sorted({*partition_values(former, bad.partition_by), *partition_values(fresh, bad.partition_by)})
+    if not touched:
+        return
+    others = existing.filter(F.col(bad.partition_by).isin(touched) & ~F.coalesce(rebuilt, F.lit(False)))
     replace_partitions(
-        spark, conform(passing, spec), _path(root, spec), spec.partition_by,
-        partition_values(source, "event_date"), reads_target=False,
+        spark, others.unionByName(same).unionByName(fresh), path, bad.partition_by, touched
     )
-    clock = as_of or _now(spark)
-    _enter(spark, conform(with_metadata(failing, clock), bad), root, bad, clock)
 
 
 def _now(spark: SparkSession) -> str:
@@ -161,8 +225,7 @@ def _now(spark: SparkSession) -> str:
 
 
 def _silver_trades(spark: SparkSession, root: str, where: Column | None) -> DataFrame:
-    trades = read_table(spark, table_path(root, "silver", "trades"))
-    return trades if where is None else trades.filter(where)
+    return _whole_days(_read(spark, root, table("silver", "trades")), where)[0]
 
 
 def _replace_gold(spark: SparkSession, df: DataFrame, root: str, name: str) -> None:
@@ -171,7 +234,7 @@ def _replace_gold(spark: SparkSession, df: DataFrame, root: str, name: str) -> N
 
 
 def trades_to_daily_volume(spark: SparkSession, root: str, where: Column | None = None) -> None:
-    """Daily volume of the selected days (`where` on event_date), replacing those days."""
+    """Daily volume of the days that `where` touches, replacing those days."""
     _replace_gold(spark, daily_volume(_silver_trades(spark, root, where)), root,
                   "daily_volume_profile")
 
@@ -179,13 +242,14 @@ def trades_to_daily_volume(spark: SparkSession, root: str, where: Column | None
 def trades_to_market_quality(
     spark: SparkSession, root: str, where: Column | None = None
 ) -> None:
-    """Hourly quality of the selected days (`where` on event_date), replacing those days."""
-    trades = _silver_trades(spark, root, where)
-    bad = read_if_exists(spark, table_path(root, "silver", "quarantine_trades"))
+    """Hourly quality of the days that `where` touches, replacing those days."""
+    stored, spec = _read(spark, root, table("silver", "trades")), table("silver", "quarantine_trades")
+    trades, days = _whole_days(stored, where)
+    bad = read_if_exists(spark, _path(root, spec), schema=spec.schema)
     if bad is None:
         bad = trades.filter(F.lit(False))
     elif where is not None:
-        bad = bad.filter(where)
+        bad = bad.filter(F.col("event_date").isin([d for d in days if d is not None]))
     quality = with_metric_date(market_quality_with_quarantine(trades, bad))
     _replace_gold(spark, quality, root, "market_quality")
 
@@ -201,17 +265,28 @@ def replay_quarantine(
 ) -> dict[str, int]:
     """Re-check a quarantine table: promote, retry or archive each row; returns the run counters.
 
+    The clock is read once and the outcomes are stored, so every row goes to exactly one place. Gold bars go
+    back to the table of their width. A window of hours looks at when a row entered the quarantine, not at the
+    last try: rows that have grown older than it wait for a run without one.
+
     Order matters for a run that dies: promoted rows are inserted if absent, then the archive is
     written, and only then is the quarantine rewritten without them.
     """
-    spec, target = table(layer, f"quarantine_{kind}"), table(layer, _clean_name(layer, kind))
-    default = gold_bar_gate() if layer == "gold" else _gate(kind, as_of)
+    spec = table(layer, f"quarantine_{kind}")
+    clock = as_of or _now(spark)
+    default = gold_bar_gate() if layer == "gold" else _gate(kind, clock)
     path = _path(root, spec)
-    quarantine = stage(spark, conform(read_table(spark, path), spec), "quarantine")
-    run = Replay(quarantine, gate or default, as_of, window_hours)
+    quarantine = stage(spark, conform(_read(spark, root, spec), spec), "quarantine")
+    run = Replay(quarantine, gate or default, clock, window_hours)
+    run.rows = stage(spark, run.rows, "replay")  # each row has one outcome, whatever is done with it below
     counters = run.metrics().first().asDict()
-    order = ("ingest_ts",) if layer == "silver" else ("bar_date",)
-    _insert(spark, run.promoted(), root, target, order)
+    if layer == "silver":
+        _insert(spark, run.promoted(), root, table(layer, kind), ("ingest_ts",))
+    else:
+        for width in GOLD_TIMEFRAMES:
+            bars = run.promoted().filter(F.col("timeframe").isin(_spellings(width)))
+            if not bars.isEmpty():
+                _insert(spark, bars, root, table(layer, f"bars_{width}"), ("bar_date",))
     archive = f"{path}_exhausted"
     leaving = run.archive()
     append_missing(
@@ -222,14 +297,10 @@ def replay_quarantine(
         spark, run.remaining(), path, spec.partition_by,
         partition_values(quarantine, spec.partition_by), reads_target=False,
     )
-    _log(spark, root, as_of, "replay", spec, **counters)
+    _log(spark, root, clock, "replay", spec, **counters)
     return counters
 
 
-def _clean_name(layer: str, kind: str) -> str:
-    return "bars_1m" if layer == "gold" else kind
-
-
 def _log(spark, root: str, run_ts: Moment, operation: str, spec: TableSpec, **metrics: int) -> None:
     log = table("gold", "maintenance_metrics")
     layout.log_run(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -38,7 +39,7 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for staged tables; a local folder only for local sessions without one."""
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"{CHECKPOINT_KEY} must name a folder that every executor can reach")
         root = tempfile.mkdtemp(prefix="strata-")
         spark.conf.set(CHECKPOINT_KEY, root)
@@ -51,6 +52,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{app}/{label}-{uuid.uuid4().hex}"
 
 
+def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Write a frame to shared scratch and read it back.
+
+    Cuts the lineage with data every executor can reach, so a lost executor costs a re-read and not a
+    recomputation, and gives the planner the true size of the frame.
+    """
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str):
     """Set `spark.sql.*` options (double underscores stand for dots) around one action."""

@@ -8,33 +8,61 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators.wire import last_per_key
 from strata.schemas import conform
-from strata.session import scratch_path
+from strata.session import stage
 
 FORMAT = "parquet"
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
-    """Scan a table; columns added over time are merged into one schema."""
+def read_table(
+    spark: SparkSession, path: str, fmt: str = FORMAT, schema: StructType | str | None = None
+) -> DataFrame:
+    """Scan a table.
+
+    With a declared schema only folders are listed. Without one, columns added over time are merged,
+    which opens the footer of every file before anything is pruned.
+    """
+    if schema is not None:
+        return spark.read.format(fmt).schema(schema).load(path)
     return spark.read.format(fmt).option("mergeSchema", "true").load(path)
 
 
-def read_if_exists(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame | None:
+def read_if_exists(
+    spark: SparkSession, path: str, fmt: str = FORMAT, schema: StructType | str | None = None
+) -> DataFrame | None:
     """The table, or None when nothing has been written there yet; other errors are raised."""
     try:
-        return read_table(spark, path, fmt)
+        found = read_table(spark, path, fmt, schema)
+        return found if schema is None or holds_files(spark, path) else None
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    """Whether any data file lies below a path, without listing further than the first."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(target):
+        return False
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")):
+            return True
+    return False
+
+
 def row_count(spark: SparkSession, path: str, fmt: str = FORMAT) -> int:
     df = read_if_exists(spark, path, fmt)
     return 0 if df is None else df.count()
@@ -57,7 +85,7 @@ def register(spark: SparkSession, name: str, path: str, fmt: str = FORMAT) -> No
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rpartition('.')[0]}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.catalog.createTable(name, path=path, source=fmt)
-    if spark.read.format(fmt).load(path).inputFiles() and _partition_columns(spark, name):
+    if holds_files(spark, path) and _partition_columns(spark, name):
         spark.catalog.recoverPartitions(name)
 
 
@@ -184,17 +212,6 @@ def _key_match(left: str, right: str, key: tuple[str, ...]) -> list[Column]:
     return [F.col(f"{left}.{c}") == F.col(f"{right}.{c}") for c in key]
 
 
-def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to shared scratch and read it back.
-
-    Cuts the lineage with data every executor can reach, so a lost executor costs a re-read and not a
-    recomputation, and gives the planner the true size of the frame.
-    """
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def new_rows(existing: DataFrame, latest: DataFrame, key: tuple[str, ...]) -> DataFrame:
     """Insert-if-absent: the rows of `latest` (one per key) whose key the table lacks.
 
@@ -218,6 +235,19 @@ def merged_rows(existing: DataFrame, latest: DataFrame, key: tuple[str, ...]) ->
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
+def content(*columns: str) -> Column:
+    """What a row holds in some columns, as one value; NULL is a content like any other."""
+    return F.sha2(F.to_json(F.array(*(F.col(c).cast("string") for c in columns))), 256)
+
+
+def unseen(rows: DataFrame, stored: list[DataFrame], columns: list[str]) -> DataFrame:
+    """Rows whose content in `columns` none of the stored frames has; equal rows are kept together."""
+    for frame in stored:
+        known = frame.select(content(*columns).alias("_seen")).distinct()
+        rows = rows.join(known, content(*columns) == F.col("_seen"), "left_anti")
+    return rows
+
+
 def insert_new(
     spark: SparkSession,
     incoming: DataFrame,
@@ -225,20 +255,26 @@ def insert_new(
     partition_by: str,
     key: tuple[str, ...],
     order: tuple[str, ...],
+    everywhere: bool = False,
 ) -> None:
     """Append the rows whose key the table lacks. Running it twice adds nothing the second time.
 
     A key is looked for in the partitions the incoming rows fall into, which is enough when the key
-    fixes the partition, as a trade id fixes its event date.
+    fixes the partition, as a trade id fixes its event date; set `everywhere` when it does not. Rows with a
+    NULL in the key are told apart by their content.
     """
-    existing = read_if_exists(spark, path)
+    nameless = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in key))
+    existing = read_if_exists(spark, path, schema=None if everywhere else incoming.schema)
+    named = last_per_key(incoming.filter(~nameless), key, order)
+    latest = stage(spark, named.unionByName(incoming.filter(nameless)), "insert")
     if existing is None:
-        append(binned(last_per_key(incoming, key, order), partition_by), path, partition_by)
+        append(binned(latest, partition_by), path, partition_by)
         return
-    latest = stage(spark, last_per_key(incoming, key, order), "insert")
     touched = partition_values(latest, partition_by)
-    nearby = existing.filter(_partition_filter(partition_by, touched))
-    append(binned(new_rows(nearby, latest, key), partition_by), path, partition_by)
+    nearby = existing if everywhere else existing.filter(_partition_filter(partition_by, touched))
+    fresh = new_rows(nearby, latest.filter(~nameless), key)
+    loose = unseen(latest.filter(nameless), [nearby.filter(nameless)], latest.columns)
+    append(binned(fresh.unionByName(loose), partition_by), path, partition_by)
 
 
 def upsert(

@@ -161,7 +161,8 @@ def test_quarantine_retention_and_replay_archive_are_apart(spark, root):
     put_bronze(spark, root, [trade(2, symbol="DEMOUSDT")])
     jobs.bronze_to_silver(spark, root, "trades", as_of="2026-05-02 00:00:00")
     assert jobs.enforce_retention(spark, root, "2026-07-01", "silver", "quarantine_trades") == 1
-    assert read(spark, root, "silver/quarantine_trades_archive").count() == 2
+    # The first trade was archived by the replays and does not enter the quarantine again.
+    assert read(spark, root, "silver/quarantine_trades_archive").count() == 1
     assert read(spark, root, "silver/quarantine_trades_exhausted").count() == 1
 
 
@@ -179,3 +180,96 @@ def test_maintenance_jobs(spark, root):
     log = read(spark, root, "gold/maintenance_metrics").collect()
     assert [r.value for r in log if r.metric == "partitions_dropped"] == [10]
     assert {r.operation for r in log} == {"cluster", "expire"}
+
+
+def test_reruns_at_another_time_add_nothing(spark, root):
+    put_bronze(spark, root, ROWS)
+    for clock in ("2026-05-01 00:00:00", "2026-05-02 00:00:00", None):
+        jobs.bronze_to_silver(spark, root, "trades", as_of=clock)
+    assert read(spark, root, "silver/trades").count() == 3
+    assert read(spark, root, "silver/quarantine_trades").count() == 3
+    # Neither do rows that were promoted or archived in the meantime.
+    relaxed = trade_gate(AS_OF).without("SYMBOL_UNKNOWN")
+    for _ in range(3):
+        jobs.replay_quarantine(spark, root, gate=relaxed, as_of=AS_OF)
+    jobs.bronze_to_silver(spark, root, "trades", as_of="2026-05-03 00:00:00")
+    assert tables.row_count(spark, f"{root}/silver/trades") == 4
+    assert tables.row_count(spark, f"{root}/silver/quarantine_trades") == 0
+    assert tables.row_count(spark, f"{root}/silver/quarantine_trades_exhausted") == 2
+
+
+def test_replay_without_a_clock_conserves_rows(spark, root):
+    """The limit of the clock rule lies among the rows, and the clock moves between the steps of a job."""
+    soon = [F.expr(f"current_timestamp() + make_dt_interval(0, 0, 0, 60 + {n} * 0.05)") for n in range(200)]
+    frame = bronze(spark, [trade(n) for n in range(200)])
+    stamps = spark.range(1).select(*(s.alias(f"s{n}") for n, s in enumerate(soon))).first()
+    by_id = spark.createDataFrame([(n, stamps[n]) for n in range(200)], "trade_id bigint, at timestamp")
+    late = frame.join(by_id, "trade_id").withColumns({"event_time": F.col("at"), "trade_time": F.col("at")}).drop("at")
+    tables.append(late.select(*frame.columns), f"{root}/bronze/binance_trades", "ingestion_date")
+    jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF)
+    jobs.replay_quarantine(spark, root)
+    count = lambda name: tables.row_count(spark, f"{root}/silver/{name}")
+    assert count("trades") + count("quarantine_trades") + count("quarantine_trades_exhausted") == 200
+
+
+def put_bars(spark, root, rows):
+    bars = spark.createDataFrame(
+        [("AAPL", datetime(2026, 4, 30, 12, m), w, 1.0, 2.0, 0.5, 1.5, v, 1.2, 3) for m, w, v in rows],
+        "symbol string, bar_open_ts timestamp, timeframe string, open double, high double, low double, "
+        "close double, volume bigint, vwap double, trade_count bigint",
+    ).withColumns({"_ingest_ts": F.lit("2026-04-30 13:00:00").cast("timestamp"),
+                   "ingestion_date": F.lit(date(2026, 4, 30))})
+    tables.append(bars, f"{root}/bronze/alpaca_bars", "ingestion_date")
+
+
+def test_two_spellings_are_one_bar(spark, root):
+    put_bars(spark, root, [(0, "1m", 10), (0, "1Min", 10), (1, "1Min", 5)])
+    jobs.bronze_to_silver(spark, root, "bars", as_of=AS_OF)
+    jobs.silver_to_gold_bars(spark, root, ("1m", "5m"), as_of=AS_OF)
+    assert read(spark, root, "silver/bars").count() == 2
+    assert [r.volume for r in read(spark, root, "gold/bars_5m").collect()] == [15]
+
+
+def test_gold_quarantine_is_rebuilt_and_replayed_by_width(spark, root):
+    put_bars(spark, root, [(0, "1m", 10), (7, "1m", 5)])
+    jobs.bronze_to_silver(spark, root, "bars", as_of=AS_OF)
+    silver = read(spark, root, "silver/bars")
+    broken = silver.withColumn("close", F.when(F.minute("bar_open_ts") == 7, F.lit(9).cast("decimal(38,18)")).otherwise(F.col("close")))
+    broken = tables.stage(spark, broken, "broken")
+    tables.overwrite(broken.select(*table("silver", "bars").schema.names), f"{root}/silver/bars", "event_date")
+    for clock in (AS_OF, "2026-05-02 00:00:00"):
+        jobs.silver_to_gold_bars(spark, root, ("5m", "1h"), as_of=clock)
+    entries = read(spark, root, "gold/quarantine_bars").collect()
+    assert sorted(r.timeframe for r in entries) == ["1h", "5m"]
+    jobs.replay_quarantine(spark, root, layer="gold", kind="bars", gate=QualityGate([]), as_of=AS_OF)
+    assert read(spark, root, "gold/bars_5m").count() == 2 and read(spark, root, "gold/bars_1h").count() == 1
+    assert tables.row_count(spark, f"{root}/gold/bars_1m") == 0
+    assert tables.row_count(spark, f"{root}/gold/quarantine_bars") == 0
+
+
+def test_a_condition_on_part_of_a_day_rebuilds_the_day(spark, root):
+    put_bronze(spark, root, ROWS)
+    jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF)
+    jobs.trades_to_silver_bars(spark, root)
+    jobs.trades_to_silver_bars(spark, root, F.col("event_ts") >= "2026-04-30 13:00:00")
+    assert read(spark, root, "silver/bars").count() == 2
+    jobs.trades_to_daily_volume(spark, root, F.col("symbol") == "ETHUSDT")
+    assert read(spark, root, "gold/daily_volume_profile").count() == 2
+
+
+def test_rows_without_a_key_stay_apart_and_are_added_once(spark, root):
+    rows = spark.createDataFrame([(None, n, date(2026, 4, 30)) for n in range(5)] + [(1, 9, date(2026, 4, 30))],
+                                 "id int, at int, day date")
+    for _ in range(2):
+        tables.insert_new(spark, rows, root, "day", ("id",), ("at",))
+    assert tables.row_count(spark, root) == 6
+
+
+def test_trade_order_is_total_for_all_64_bit_numbers(spark):
+    from strata.functions.market import trade_order
+
+    top = 2**63 - 1
+    ids = [(f"x:{n}", t) for t in (1, 2) for n in (-top - 1, -1, 0, top)] + [("text", 3), ("other", 4)]
+    rows = spark.createDataFrame(ids, "trade_id string, us bigint").selectExpr("trade_id", "us", "timestamp_micros(us) AS event_ts")
+    got = rows.select("trade_id", "us", trade_order().alias("o")).orderBy("o").collect()
+    assert [(r.trade_id, r.us) for r in got] == ids
