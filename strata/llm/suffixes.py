@@ -209,7 +209,8 @@ def _hashed(members: DataFrame) -> DataFrame:
     strings = members.select("*", distance).select(
         "name", "row", "spot", "alone", "distance",
         F.xxhash64(
-            F.expr("right(before, distance)"), F.lit(0), F.expr(f"left(after, {AROUND} - distance)"), F.lit(1)
+            F.expr("substring(before, length(before) - distance + 1, distance)"), F.lit(0),
+            F.expr(f"substring(after, 1, {AROUND} - distance)"), F.lit(1),
         ).alias("string"),
     )
     repeated = strings.groupBy("name", "distance", "string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
