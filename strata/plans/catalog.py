@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +20,9 @@ from strata.operators.profiles import (
 from strata.operators.quality import FAILURES_COL, failures_by_code
 from strata.operators.quarantine import Replay, with_metadata
 from strata.operators.typed import silver_bars
-from strata.plans import inputs, oracle
+from strata.plans import inputs, jobs, oracle
 from strata.plans.inputs import AS_OF, comparable
-from strata.schemas import TRADE_WIRE, table_path
+from strata.schemas import TRADE_WIRE, conform, table, table_path
 from strata.session import configure, scratch_path
 from strata.sources import feeds, landing, tables
 from strata.streaming import ingest, refine
@@ -744,6 +745,75 @@ def stream_rolling_bars(spark, sf_dir):
     return _run_to_parquet(spark, refine.rolling_bars(stream), base)
 
 
+# --------------------------------------------------------------------------- jobs
+# The stored-table jobs, run more than once over tables written from the events.
+
+
+def _silver_tables(spark, sf_dir, *clocks: str) -> str:
+    """A root whose Bronze trades went through the Silver job once at each clock."""
+    root = scratch_path(spark, "jobs")
+    bronze = table("bronze", "binance_trades")
+    rows = conform(inputs.bronze_trades(spark, sf_dir), bronze)
+    tables.append(tables.binned(rows, bronze.partition_by), table_path(root, "bronze", bronze.name), bronze.partition_by)
+    for clock in clocks:
+        jobs.bronze_to_silver(spark, root, "trades", as_of=clock)
+    return root
+
+
+def _places(spark, root: str, **paths: str) -> DataFrame:
+    """Where each trade ended up."""
+    parts = [
+        tables.read_table(spark, f"{root}/silver/{path}", schema="trade_id string").select("trade_id", F.lit(place).alias("place"))
+        for place, path in paths.items()
+        if tables.holds_files(spark, f"{root}/silver/{path}")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("job_silver_rerun", oracle.with_(f"{oracle.TRADES},{oracle.FLAGS}", """
+SELECT trade_id, CASE WHEN bad THEN 'quarantine' ELSE 'silver' END AS place FROM judged"""))
+def job_silver_rerun(spark, sf_dir):
+    """The Silver job run twice, a day apart: every trade is in one place, once."""
+    root = _silver_tables(spark, sf_dir, AS_OF, "2024-02-02 00:00:00")
+    return _places(spark, root, silver="trades", quarantine="quarantine_trades")
+
+
+@query("job_replay_conserves", oracle.with_(f"{oracle.TRADES},{oracle.FLAGS}", """
+SELECT trade_id, CASE WHEN f1 OR f2 OR f3 OR f5 OR f6 THEN 'exhausted' ELSE 'silver' END AS place FROM judged"""))
+def job_replay_conserves(spark, sf_dir):
+    """Three replays without the symbol rule, then Silver again: promoted or exhausted, nothing lost or doubled."""
+    root = _silver_tables(spark, sf_dir, AS_OF)
+    for _ in range(3):
+        jobs.replay_quarantine(spark, root, gate=rules.trade_gate(AS_OF).without("SYMBOL_UNKNOWN"), as_of=AS_OF)
+    jobs.bronze_to_silver(spark, root, "trades", as_of="2024-02-02 00:00:00")
+    return _places(
+        spark, root, silver="trades", quarantine="quarantine_trades", exhausted="quarantine_trades_exhausted"
+    )
+
+
+@query("job_gold_rerun", oracle.with_(
+    oracle.MINUTE, "\nUNION ALL BY NAME\n".join(oracle.wide_select(tf) for tf in ("5m", "1h", "1d"))))
+def job_gold_rerun(spark, sf_dir):
+    """Silver bars and three Gold widths from one scan, built twice."""
+    root = _silver_tables(spark, sf_dir, AS_OF)
+    for _ in range(2):
+        jobs.trades_to_silver_bars(spark, root)
+        jobs.silver_to_gold_bars(spark, root, ("5m", "1h", "1d"), as_of=AS_OF)
+    gold = [table("gold", f"bars_{width}") for width in ("5m", "1h", "1d")]
+    return reduce(DataFrame.unionByName, (
+        tables.read_table(spark, table_path(root, "gold", spec.name), schema=spec.schema) for spec in gold
+    ))
+
+
+@query("retention_left", oracle.with_(oracle.CLEAN, """
+SELECT trade_id, event_date FROM clean WHERE event_date >= DATE '2024-01-17'"""))
+def retention_left(spark, sf_dir):
+    """What retention leaves in a stored table."""
+    path = _stored_trades(spark, sf_dir, "expire")
+    layout.expire(spark, path, "event_date", AS_OF, 15, f"{path}-archive")
+    return tables.read_table(spark, path).select("trade_id", "event_date")
+
+
 # --------------------------------------------------------------------------- health
 
 

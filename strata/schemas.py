@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 MONEY = "DECIMAL(38,18)"
 FAILURES = "ARRAY<STRUCT<error_code: STRING, error_msg: STRING, severity: STRING>>"
 
+# The column lists of the feeds and of the stored tables.
 # Landing records as they arrive in the JSON-lines feeds.
 TRADE_WIRE = (
     "event_type STRING, event_time TIMESTAMP, symbol STRING, trade_id BIGINT, "
