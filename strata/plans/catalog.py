@@ -691,9 +691,30 @@ def stream_ingest(spark, sf_dir):
     return bronze.select(*inputs.wire_columns(), "_source")
 
 
-def _stream_refined(spark, sf_dir, name: str) -> DataFrame:
+@query("stream_ingest_evolving", oracle.with_(oracle.TRADES, """
+SELECT CASE WHEN symbol <> 'AAPL' THEN event_id END AS trade_id, symbol = 'AAPL' AS is_corrupt,
+  CASE WHEN symbol <> 'AAPL' AND event_ts >= TIMESTAMP '2024-01-15' THEN buyer_is_maker END AS is_self_match
+FROM t"""))
+def stream_ingest_evolving(spark, sf_dir):
+    """Lossless ingest over two starts, the second with the new field as a column: malformed lines and
+    rescued fields are all there."""
+    base = scratch_path(spark, "stream-evolving")
+    lines = _evolving_lines(spark, sf_dir)
+    for start, fields in enumerate(({}, {"is_self_match": "BOOLEAN"})):
+        half = lines.filter(F.pmod(F.xxhash64("value"), F.lit(2)) == start)
+        half.write.text(f"{base}/landing/binance/{start}")
+        _finish(ingest.ingest(spark, "binance", f"{base}/landing", f"{base}/tables", f"{base}/checkpoints",
+                              available_now=True, evolving=True, promoted_fields=fields))
+    bronze = tables.read_table(spark, table_path(f"{base}/tables", "bronze", "binance_trades"))
+    rescued = F.get_json_object("_rescued", "$.is_self_match").cast("boolean")
+    return bronze.select(
+        "trade_id", F.col("_corrupt").alias("is_corrupt"), F.coalesce("is_self_match", rescued).alias("is_self_match")
+    )
+
+
+def _stream_refined(spark, sf_dir, name: str, copies: int = 1) -> DataFrame:
     base = scratch_path(spark, "stream-refine")
-    bronze = inputs.bronze_trades(spark, sf_dir)
+    bronze = reduce(DataFrame.unionByName, [inputs.bronze_trades(spark, sf_dir)] * copies)
     tables.append(tables.binned(bronze, "ingestion_date"), f"{base}/bronze", "ingestion_date")
     source = refine.stream_bronze(spark, f"{base}/bronze", bronze.schema)
     _finish(refine.refine(source, "trades", base, f"{base}/checkpoints", AS_OF, available_now=True))
@@ -723,26 +744,33 @@ def _run_to_parquet(spark, stream: DataFrame, base: str) -> DataFrame:
 
 @query("stream_dedup_bars", oracle.with_(oracle.RAW_BARS, "SELECT DISTINCT symbol, bar_open_ts FROM raw"))
 def stream_dedup_bars(spark, sf_dir):
-    """One row per polled bar key; which copy comes first is up to the stream."""
+    """One row per polled bar key, read in several batches without order; which copy comes first is up to
+    the stream."""
     base = scratch_path(spark, "stream-dedup")
     bars = inputs.bronze_bars(spark, sf_dir)
-    bars.write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(bars.schema).parquet(f"{base}/in")
-    kept = _run_to_parquet(spark, refine.dedup_bars(stream), base)
-    return kept.select("symbol", "bar_open_ts")
+    bars.repartition(3, "seq").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(bars.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    _finish(refine.keep_first_bars(stream, f"{base}/out", f"{base}/checkpoints", available_now=True))
+    return tables.read_table(spark, f"{base}/out").select("symbol", "bar_open_ts")
 
 
 @query("stream_rolling_bars", oracle.with_(oracle.MINUTE, f"""
 SELECT bar_open_ts, symbol, 'crypto' AS asset_class, {oracle.BAR_COLS}, CAST(bar_open_ts AS DATE) AS event_date,
-  'trade_rollup' AS source, '1m' AS timeframe FROM minute
-WHERE bar_open_ts + INTERVAL 1 MINUTE <= (SELECT max(event_ts) FROM clean) - INTERVAL 5 MINUTE"""))
+  'trade_rollup' AS source, '1m' AS timeframe FROM minute"""))
 def stream_rolling_bars(spark, sf_dir):
-    """One-minute bars as a stream: all bars the watermark has closed."""
+    """One-minute bars as a stream of three batches without order: all bars, late trades included."""
     base = scratch_path(spark, "stream-bars")
     trades = inputs.clean_trades(spark, sf_dir).drop("_raw_json")
-    trades.write.parquet(f"{base}/in")
-    stream = spark.readStream.schema(trades.schema).parquet(f"{base}/in")
-    return _run_to_parquet(spark, refine.rolling_bars(stream), base)
+    trades.repartition(3, "trade_id").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(trades.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    _finish(refine.merge_bars(stream, f"{base}/out", f"{base}/checkpoints", available_now=True))
+    return refine.merged_bars(spark, f"{base}/out")
+
+
+@query("stream_refine_unique", oracle.with_(oracle.CLEAN, f"SELECT {oracle.TRADE_COLS} FROM clean"))
+def stream_refine_unique(spark, sf_dir):
+    """The Silver half of a feed that delivers everything twice."""
+    return _stream_refined(spark, sf_dir, "trades", copies=2).drop("_raw_json")
 
 
 # --------------------------------------------------------------------------- jobs

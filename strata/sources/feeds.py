@@ -79,9 +79,14 @@ def scan_evolving(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return _rescuing(spark.read.option("recursiveFileLookup", "true").text(path), schema)
 
 
-def stream_evolving(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def stream_evolving(
+    spark: SparkSession, path: str, schema: str, max_files_per_trigger: int | None = None
+) -> DataFrame:
     """Streaming form of `scan_evolving`."""
-    return _rescuing(spark.readStream.option("recursiveFileLookup", "true").text(path), schema)
+    reader = spark.readStream.option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _rescuing(reader.text(path), schema)
 
 
 def rescued_fields(evolving: DataFrame) -> DataFrame:
@@ -118,15 +123,19 @@ def annotate(
 ) -> DataFrame:
     """Landing records -> Bronze rows.
 
-    `_raw_json` is the record as parsed (NULL fields left out). The clock defaults to the query's;
+    `_raw_json` is the record as parsed (NULL fields left out), or the line itself of an evolving scan. The clock defaults to the query's;
     the file path to the scan's metadata, for frames that are a file scan.
     """
-    names = records.columns
+    names = [c for c in records.columns if c not in ("_file_path", "_raw", "_rescued", "_corrupt")]
+    kept = [c for c in records.columns if c != "_file_path"]
+    own_path = F.col("_file_path") if "_file_path" in records.columns else F.col("_metadata.file_path")
+    # An evolving scan has the line itself, which also holds what the declaration missed.
+    raw = F.col("_raw") if "_raw" in records.columns else F.to_json(F.struct(*names))
     stamped = records.select(
-        "*",
-        F.to_json(F.struct(*names)).alias("_raw_json"),
+        *kept,
+        raw.alias("_raw_json"),
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("_ingest_ts"),
         F.lit(source).alias("_source"),
-        (F.col("_metadata.file_path") if file_path is None else file_path).alias("_file_path"),
-    )
+        (own_path if file_path is None else file_path).alias("_file_path"),
+    ).drop("_raw")
     return stamped.withColumn("ingestion_date", F.to_date("_ingest_ts"))

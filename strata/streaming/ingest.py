@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.schemas import table_path
-from strata.sources.feeds import FEEDS, Feed, annotate, stream_jsonl
+from strata.sources.feeds import FEEDS, Feed, annotate, promoted, stream_evolving, stream_jsonl
 from strata.streaming.sinks import TRIGGER_SECONDS, BatchAppender, start
 
 
@@ -43,12 +44,23 @@ def ingest(
     trigger_seconds: int = TRIGGER_SECONDS,
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
+    evolving: bool = False,
+    promoted_fields: dict[str, str] | None = None,
 ) -> StreamingQuery:
-    """Start the ingest of one feed; every feed has its own table and checkpoint."""
+    """Start the ingest of one feed; every feed has its own table and checkpoint.
+
+    `evolving` loses nothing: Bronze then holds the line itself as `_raw_json`, fields outside the declared
+    schema as JSON text in `_rescued`, and malformed lines with `_corrupt` set. At a later start
+    `promoted_fields` (name to type) makes columns of such fields.
+    """
     spec = FEEDS[feed] if isinstance(feed, str) else feed
-    records = stream_jsonl(
-        spark, f"{landing_root}/{spec.landing_subdir}", spec.wire, max_files_per_trigger
-    )
+    folder = f"{landing_root}/{spec.landing_subdir}"
+    if evolving:
+        wire = promoted(spec.wire, promoted_fields or {})
+        lines = stream_evolving(spark, folder, wire, max_files_per_trigger)
+        records = lines.withColumn("_rescued", F.to_json("_rescued"))  # maps cannot be compared on a restart
+    else:
+        records = stream_jsonl(spark, folder, spec.wire, max_files_per_trigger)
     return write_bronze(
         records,
         spec.source,

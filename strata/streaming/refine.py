@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.functions.market import trade_order, vwap
+from strata.functions.market import bucket_start, trade_order, vwap
 from strata.operators.quarantine import with_metadata
 from strata.operators.rules import bar_gate, short_timeframe, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
 from strata.schemas import conform, table, table_path
 from strata.sources.feeds import FEEDS, Feed
+from strata.sources.tables import insert_new, partition_values, read_if_exists, read_table, replace_partitions, stage
 from strata.streaming.sinks import TRIGGER_SECONDS, BatchAppender, start
 
 
@@ -27,10 +29,12 @@ def refine(
     feed: Feed | str | None = None,
     trigger_seconds: int = TRIGGER_SECONDS,
     available_now: bool = False,
+    unique: bool = True,
 ) -> StreamingQuery:
     """Split each micro-batch of `trades` or `bars` into Silver and quarantine, exactly once.
 
-    A batch is typed once and persisted for its two writes. The clock of the rules and of the
+    Clean rows are inserted if their key is absent, as the batch job does, so a feed that delivers twice is
+    stored once; `unique=False` appends them without looking. A batch is typed once and persisted for its two writes. The clock of the rules and of the
     quarantine columns is the batch's newest ingest time unless `as_of` is given, so a repeated batch
     makes the same decisions. The feed gives source and asset class.
     """
@@ -39,6 +43,7 @@ def refine(
     }[kind]
     origin = feed if isinstance(feed, Feed) else FEEDS[feed or usual_feed]
     clean, bad = table("silver", kind), table("silver", f"quarantine_{kind}")
+    clean_path = table_path(root, clean.layer, clean.name)
     clean_sink, bad_sink = (
         BatchAppender(table_path(root, spec.layer, spec.name), spec.partition_by, ts_col)
         for spec, ts_col in ((clean, "ingest_ts"), (bad, "_quarantined_ts"))
@@ -54,7 +59,13 @@ def refine(
             newest = F.coalesce(F.max("ingest_ts"), F.max("event_ts"), F.timestamp_seconds(F.lit(0)))
             clock = as_of or typed.agg(newest.cast("string")).first()[0]
             gate = trade_gate(clock) if kind == "trades" else bar_gate()
-            clean_sink.write(conform(gate.passing(typed), clean))
+            if unique:
+                insert_new(
+                    batch.sparkSession, conform(gate.passing(typed), clean), clean_path, clean.partition_by,
+                    clean.key, ("ingest_ts",),
+                )
+            else:
+                clean_sink.write(conform(gate.passing(typed), clean))
             bad_sink.write(conform(with_metadata(gate.quarantined(typed), clock), bad))
         finally:
             typed.unpersist()
@@ -71,7 +82,8 @@ def stream_bronze(spark: SparkSession, path: str, schema) -> DataFrame:
 def dedup_bars(bars: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     """Drop bars polled again (same symbol and open time) within the lateness bound.
 
-    State is keyed by bar and dropped by the watermark, so it is bounded by time, not by a count.
+    State is keyed by bar and dropped by the watermark, so it is bounded by time, not by a count. Bars later
+    than the bound are discarded, which Spark counts but does not keep: `keep_first_bars` keeps them.
     """
     return bars.withWatermark("bar_open_ts", lateness).dropDuplicatesWithinWatermark(
         ["symbol", "bar_open_ts"]
@@ -79,7 +91,11 @@ def dedup_bars(bars: DataFrame, lateness: str = "10 minutes") -> DataFrame:
 
 
 def rolling_bars(trades: DataFrame, lateness: str = "5 minutes", width: str = "1 minute") -> DataFrame:
-    """One-minute bars as a stream: a bar is emitted once the watermark has passed its end."""
+    """One-minute bars as a stream: a bar is emitted once the watermark has passed its end.
+
+    For sinks that can only append. Trades later than the bound are discarded and the last bars stay open;
+    `merge_bars` has neither limit.
+    """
     return (
         trades.withWatermark("event_ts", lateness)
         .withColumn("_order", F.when(F.col("price").isNotNull(), trade_order()))
@@ -101,3 +117,87 @@ def rolling_bars(trades: DataFrame, lateness: str = "5 minutes", width: str = "1
             F.lit("1m").alias("timeframe"),
         )
     )
+
+
+def keep_first_bars(
+    bars: DataFrame, path: str, checkpoint: str, trigger_seconds: int = TRIGGER_SECONDS, available_now: bool = False
+) -> StreamingQuery:
+    """Store polled bars once for each symbol and open time, however late they come.
+
+    The stored table is the state: a key is looked up in its day, so nothing has to be forgotten, and a
+    repeated batch adds nothing. Missing symbols and times are values of the key like others."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        key = F.to_json(F.array("symbol", F.unix_micros("bar_open_ts").cast("string")))
+        rows = batch.withColumns({"bar_key": key, "bar_date": F.to_date("bar_open_ts")})
+        order = tuple(c for c in ("_ingest_ts", "seq") if c in rows.columns) or ("timeframe",)
+        insert_new(batch.sparkSession, rows, path, "bar_date", ("bar_key",), order)
+
+    return start(bars, write, checkpoint, trigger_seconds, available_now)
+
+
+_BAR_STATE = (
+    "bar_open_ts TIMESTAMP, symbol STRING, asset_class STRING, open DECIMAL(38,18), high DECIMAL(38,18), "
+    "low DECIMAL(38,18), close DECIMAL(38,18), volume DECIMAL(38,18), notional DECIMAL(38,6), trade_count BIGINT, "
+    "first_order DECIMAL(38,0), last_order DECIMAL(38,0), last_batch BIGINT, event_date DATE"
+)
+
+
+def _folded(parts: DataFrame) -> DataFrame:
+    """Partial bars of one minute, symbol and asset class combined; the fold is associative."""
+    return parts.groupBy("bar_open_ts", "symbol", "asset_class").agg(
+        F.min_by("open", "first_order").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "last_order").alias("close"),
+        F.try_sum("volume").alias("volume"),
+        F.try_sum("notional").alias("notional"),
+        F.sum("trade_count").alias("trade_count"),
+        F.min("first_order").alias("first_order"),
+        F.max("last_order").alias("last_order"),
+        F.max("last_batch").alias("last_batch"),
+    ).withColumn("event_date", F.to_date("bar_open_ts"))
+
+
+def merge_bars(
+    trades: DataFrame, path: str, checkpoint: str, trigger_seconds: int = TRIGGER_SECONDS, available_now: bool = False
+) -> StreamingQuery:
+    """One-minute bars kept up to date as trades arrive, late ones included; read them by `merged_bars`.
+
+    A batch is folded to partial bars and merged into the stored bars of its days. Each bar remembers the
+    last batch, and a day that holds this batch already is left alone when the batch is repeated.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        order = F.when(F.col("price").isNotNull(), trade_order())
+        parts = batch.select(
+            bucket_start("event_ts", "1m").alias("bar_open_ts"), "symbol", "asset_class",
+            F.col("price").alias("open"), F.col("price").alias("high"), F.col("price").alias("low"),
+            F.col("price").alias("close"), F.col("quantity").alias("volume"), "notional",
+            F.lit(1).alias("trade_count"), order.alias("first_order"), order.alias("last_order"),
+            F.lit(batch_id).alias("last_batch"),
+        )
+        fresh = stage(spark, conform(_folded(parts), _BAR_STATE), "bar-batch")
+        days = partition_values(fresh, "event_date")
+        stored = read_if_exists(spark, path, schema=_BAR_STATE)
+        if stored is not None:
+            same_day = [F.col("event_date").eqNullSafe(F.lit(day)) for day in days]
+            touched = stored.filter(reduce(lambda a, b: a | b, same_day, F.lit(False)))
+            done = partition_values(touched.filter(F.col("last_batch") >= batch_id), "event_date")
+            for day in done:
+                fresh = fresh.filter(~F.col("event_date").eqNullSafe(F.lit(day)))
+                touched = touched.filter(~F.col("event_date").eqNullSafe(F.lit(day)))
+            fresh = conform(_folded(touched.unionByName(fresh)), _BAR_STATE)
+        replace_partitions(spark, fresh, path, "event_date")
+
+    return start(trades, write, checkpoint, trigger_seconds, available_now)
+
+
+def merged_bars(spark: SparkSession, path: str) -> DataFrame:
+    """The bars that `merge_bars` has stored, in the shape of the batch roll-up."""
+    return read_table(spark, path, schema=_BAR_STATE).select(
+        "bar_open_ts", "symbol", "asset_class", "open", "high", "low", "close", "volume", "trade_count",
+        vwap(F.col("notional"), F.col("volume")).alias("vwap"), "event_date",
+        F.lit("trade_rollup").alias("source"), F.lit("1m").alias("timeframe"),
+    )
