@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,20 @@ def _bytes(spark: SparkSession, path: str, where: Column | None) -> int:
     return total or 0
 
 
+def ill_sized(
+    spark: SparkSession, path: str, partition_by: str, where: Column | None, target_bytes: int
+) -> list:
+    """Partitions with more files than their bytes need, or with much larger ones; read from the listing."""
+    files = table_files(spark, path)
+    per_day = (files if where is None else files.filter(where)).groupBy(partition_by).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")
+    )
+    needed = F.ceil(F.col("bytes") / target_bytes)
+    mean = F.col("bytes") / F.col("n")
+    wrong = ((F.col("n") > needed) & (mean < target_bytes / 2)) | (mean > 2 * target_bytes)
+    return [row[0] for row in per_day.filter(wrong).collect()]
+
+
 def compact(
     spark: SparkSession,
     path: str,
@@ -63,10 +78,16 @@ def compact(
     where: Column | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> None:
-    """Rewrite the matching partitions into files of about the target size. Rows are unchanged.
+    """Rewrite those of the matching partitions whose files are far from the target size. Rows are unchanged.
 
-    `where` must be a condition on the partition column.
+    `where` must be a condition on the partition column. Partitions that are well laid out stay as they are,
+    so a second run rewrites nothing.
     """
+    days = ill_sized(spark, path, partition_by, where, target_bytes)
+    if not days:
+        return
+    same_day = [F.col(partition_by).eqNullSafe(F.lit(day)) for day in days]
+    where = reduce(lambda a, b: a | b, same_day)
     with session_conf(
         spark,
         spark__sql__adaptive__advisoryPartitionSizeInBytes=str(target_bytes * SHUFFLE_TO_FILE),

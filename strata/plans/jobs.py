@@ -26,6 +26,7 @@ from strata.operators.quarantine import METADATA, Replay, with_metadata
 from strata.operators.rules import SHORT_TIMEFRAMES, bar_gate, gold_bar_gate, short_timeframe, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
 from strata.schemas import TableSpec, conform, table, table_path
+from strata.session import frees_scratch
 from strata.sources.feeds import feed_of
 from strata.sources.tables import (
     append,
@@ -62,6 +63,7 @@ def _insert(spark: SparkSession, df: DataFrame, root: str, spec: TableSpec, orde
     insert_new(spark, conform(df, spec), _path(root, spec), spec.partition_by, spec.key, order)
 
 
+@frees_scratch
 def bronze_to_silver(
     spark: SparkSession,
     root: str,
@@ -140,6 +142,7 @@ def _whole_days(df: DataFrame, where: Column | None, column: str = "event_date")
     return df.filter(kept | F.col(column).isNull() if None in days else kept), days
 
 
+@frees_scratch
 def trades_to_silver_bars(spark: SparkSession, root: str, where: Column | None = None) -> None:
     """One-minute bars of Silver trades into Silver bars, replacing the days that `where` touches.
 
@@ -159,6 +162,7 @@ def trades_to_silver_bars(spark: SparkSession, root: str, where: Column | None =
     replace_partitions(spark, fresh, _path(root, spec), spec.partition_by)
 
 
+@frees_scratch
 def silver_to_gold_bars(
     spark: SparkSession,
     root: str,
@@ -233,12 +237,14 @@ def _replace_gold(spark: SparkSession, df: DataFrame, root: str, name: str) -> N
     replace_partitions(spark, conform(df, spec), _path(root, spec), spec.partition_by)
 
 
+@frees_scratch
 def trades_to_daily_volume(spark: SparkSession, root: str, where: Column | None = None) -> None:
     """Daily volume of the days that `where` touches, replacing those days."""
     _replace_gold(spark, daily_volume(_silver_trades(spark, root, where)), root,
                   "daily_volume_profile")
 
 
+@frees_scratch
 def trades_to_market_quality(
     spark: SparkSession, root: str, where: Column | None = None
 ) -> None:
@@ -254,6 +260,7 @@ def trades_to_market_quality(
     _replace_gold(spark, quality, root, "market_quality")
 
 
+@frees_scratch
 def replay_quarantine(
     spark: SparkSession,
     root: str,

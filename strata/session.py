@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,10 +61,33 @@ def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     recomputation, and gives the planner the true size of the frame.
     """
     path = scratch_path(spark, label)
+    if _staged:
+        _staged[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Paths staged by the running jobs, the innermost last.
+_staged: list[list[str]] = []
+
+
+def frees_scratch(job: Callable) -> Callable:
+    """A job whose staged frames are deleted when it ends, well or not. It must not return a frame."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **named):
+        _staged.append([])
+        try:
+            return job(spark, *args, **named)
+        finally:
+            jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+            for path in _staged.pop():
+                target = jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(conf).delete(target, True)
+
+    return run
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str):
     """Set `spark.sql.*` options (double underscores stand for dots) around one action."""

@@ -160,6 +160,30 @@ def test_compaction_keeps_rows_and_merges_files(spark, fragmented):
     assert multiset(tables.read_table(spark, fragmented)) == before
 
 
+def test_a_second_compaction_rewrites_nothing(spark, fragmented):
+    layout.compact(spark, fragmented, "event_date")
+    names = lambda: sorted(r.path for r in tables.table_files(spark, fragmented).select("path").collect())
+    once = names()
+    layout.compact(spark, fragmented, "event_date")
+    assert names() == once
+
+
+def test_jobs_free_what_they_stage(spark, tmp_path):
+    from strata.session import frees_scratch, stage
+
+    paths = []
+
+    @frees_scratch
+    def job(spark):
+        paths.append(stage(spark, spark.range(3), "freed").inputFiles()[0])
+
+    job(spark)
+    from pathlib import Path
+    from urllib.parse import urlparse
+
+    assert not Path(urlparse(paths[0]).path).exists()
+
+
 def test_a_large_day_is_cut_to_the_target_size(spark, root):
     wide = spark.range(60000).selectExpr("id", "sha2(cast(id AS string), 256) AS v", "DATE'2026-01-01' AS day")
     tables.append(wide.repartition(40), root, "day")
