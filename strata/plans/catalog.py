@@ -529,18 +529,28 @@ def market_quality_full(spark, sf_dir):
 # --------------------------------------------------------------------------- analytic queries
 
 
+def _stored_silver(spark, sf_dir):
+    """Clean trades as a stored table, and its newest time: a literal, so that days are pruned and filters pushed."""
+    path = _stored_trades(spark, sf_dir, "silver")
+    shape = inputs.clean_trades(spark, sf_dir).drop("_raw_json").schema
+    trades = tables.read_table(spark, path, schema=shape)
+    return trades, trades.agg(F.max("event_ts").cast("string")).first()[0]
+
+
 @query("q1_single_symbol", oracle.with_(oracle.CLEAN, f"""
 SELECT {oracle.TRADE_COLS} FROM clean WHERE symbol = 'BTCUSDT'
 AND event_date >= (SELECT max(event_date) FROM clean) - INTERVAL 1 DAY"""))
 def q1_single_symbol(spark, sf_dir):
-    return market_queries.single_symbol(inputs.clean_trades(spark, sf_dir)).drop("_raw_json")
+    trades, newest = _stored_silver(spark, sf_dir)
+    return market_queries.single_symbol(trades, as_of=newest)
 
 
 @query("q1_summary", oracle.with_(oracle.CLEAN, """
 SELECT count(*) AS trade_count, round(CAST(sum(p4) AS DOUBLE) / 10000.0 / count(*), 6) AS avg_price
 FROM clean WHERE symbol = 'BTCUSDT' AND event_date >= (SELECT max(event_date) FROM clean) - INTERVAL 1 DAY"""))
 def q1_summary(spark, sf_dir):
-    found = market_queries.single_symbol_summary(inputs.clean_trades(spark, sf_dir))
+    trades, newest = _stored_silver(spark, sf_dir)
+    found = market_queries.single_symbol_summary(trades, as_of=newest)
     return found.withColumn("avg_price", F.round(F.col("avg_price").cast("double"), 6))
 
 
@@ -550,7 +560,8 @@ SELECT date_trunc('hour', event_ts) AS hour,
   CAST(sum(q4) AS DOUBLE) / 10000.0 AS volume FROM clean WHERE symbol = 'BTCUSDT'
 AND event_date >= (SELECT max(event_date) FROM clean) - INTERVAL 7 DAY GROUP BY 1"""))
 def q2_hourly_vwap(spark, sf_dir):
-    return market_queries.hourly_vwap(inputs.clean_trades(spark, sf_dir))
+    trades, newest = _stored_silver(spark, sf_dir)
+    return market_queries.hourly_vwap(trades, as_of=newest)
 
 
 @query("q3_cross_section", oracle.with_(oracle.CLEAN, """
@@ -559,14 +570,15 @@ SELECT symbol, CAST(sum(q4) AS DOUBLE) / 10000.0 AS volume, count(*) AS trade_co
 WHERE symbol IN ('BTCUSDT', 'ETHUSDT', 'SOLUSDT', 'AAPL', 'MSFT')
 AND event_ts >= (SELECT max(event_ts) FROM clean) - INTERVAL 1 HOUR GROUP BY 1"""))
 def q3_cross_section(spark, sf_dir):
-    found = market_queries.cross_section(inputs.clean_trades(spark, sf_dir))
+    trades, newest = _stored_silver(spark, sf_dir)
+    found = market_queries.cross_section(trades, as_of=newest)
     return found.withColumn("avg_price", F.round(F.col("avg_price").cast("double"), 6))
 
 
 @query("q4_count_by_symbol", oracle.with_(
     oracle.CLEAN, "SELECT symbol, count(*) AS trade_count FROM clean GROUP BY 1"))
 def q4_count_by_symbol(spark, sf_dir):
-    return market_queries.count_by_symbol(inputs.clean_trades(spark, sf_dir))
+    return market_queries.count_by_symbol(_stored_silver(spark, sf_dir)[0])
 
 
 # --------------------------------------------------------------------------- stored tables
