@@ -73,6 +73,7 @@ def bronze_to_silver(
     bronze_table: str | None = None,
     level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
     unique: bool = True,
+    resume: bool = False,
 ) -> None:
     """Type and split new Bronze rows of `trades` or `bars` into Silver and quarantine.
 
@@ -81,6 +82,9 @@ def bronze_to_silver(
     halves agree either way. A failed row that is in quarantine, was archived from it or was promoted from it
     is known by its content and does not enter again.
 
+    With `resume` the run starts after the ingest time that the last such run noted in the run log, and notes its
+    own when all is written; only newer Bronze days are read.
+
     Clean rows are inserted if their key is absent. `unique=False` appends them as they are, a job
     without any shuffle, for a first load of a feed that is known to deliver once; such a run must
     start from an empty Silver table when it is repeated.
@@ -89,7 +93,16 @@ def bronze_to_silver(
     default_table, normalise = names[kind]
     feed = feed_of(bronze_table or default_table)
     clock = as_of or _now(spark)
-    bronze = _read(spark, root, table("bronze", feed.bronze_table))
+    source = table("bronze", feed.bronze_table)
+    if resume and last_ingest_ts is None:
+        last_ingest_ts = _mark(spark, root, source)
+    bronze = _read(spark, root, source)
+    newest = None
+    if resume:
+        fresh = since(bronze, last_ingest_ts)
+        newest = fresh.agg(F.max(F.unix_micros("_ingest_ts"))).first()[0]
+        # Rows that land while the job runs belong to the next run.
+        bronze = bronze.filter(F.unix_micros("_ingest_ts") <= newest) if newest is not None else bronze.limit(0)
     typed = normalise(since(bronze, last_ingest_ts), feed.source, feed.asset_class)
     if kind == "bars":
         typed = typed.withColumn("timeframe", short_timeframe())
@@ -106,11 +119,26 @@ def bronze_to_silver(
             append(conform(passing, clean), _path(root, clean), clean.partition_by)
         failed = with_metadata(gate.quarantined(typed, computed=parsed), clock)
         _enter(spark, conform(failed, bad), root, bad, promoted_to=clean)
+        if newest is not None:
+            _log(spark, root, clock, MARK, source, ingest_us=newest)
     finally:
         if level is not None:
             typed.unpersist()
 
 
+MARK = "silver_mark"
+
+
+def _mark(spark: SparkSession, root: str, source: TableSpec) -> str | None:
+    """The newest ingest time a resumed run has worked off, as text."""
+    spec = table("gold", "maintenance_metrics")
+    log = read_if_exists(spark, _path(root, spec), schema=spec.schema)
+    if log is None:
+        return None
+    own = (F.col("operation") == MARK) & (F.col("table") == source.name) & (F.col("layer") == source.layer)
+    return log.filter(own).agg(F.timestamp_micros(F.max("value")).cast("string")).first()[0]
+
+
 def _enter(
     spark: SparkSession, failed: DataFrame, root: str, spec: TableSpec, promoted_to: TableSpec | None = None
 ) -> None:

@@ -273,3 +273,15 @@ def test_trade_order_is_total_for_all_64_bit_numbers(spark):
     rows = spark.createDataFrame(ids, "trade_id string, us bigint").selectExpr("trade_id", "us", "timestamp_micros(us) AS event_ts")
     got = rows.select("trade_id", "us", trade_order().alias("o")).orderBy("o").collect()
     assert [(r.trade_id, r.us) for r in got] == ids
+
+
+def test_a_resumed_run_reads_what_is_new(spark, root):
+    put_bronze(spark, root, ROWS)
+    jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF, resume=True)
+    assert jobs._mark(spark, root, table("bronze", "binance_trades")) == "2026-04-30 12:00:30"
+    put_bronze(spark, root, [trade(9, ts="2026-05-01T00:00:00Z")], "2026-05-01 00:00:10")
+    jobs.bronze_to_silver(spark, root, "trades", as_of="2026-05-01 01:00:00", resume=True)
+    jobs.bronze_to_silver(spark, root, "trades", as_of="2026-05-01 02:00:00", resume=True)
+    assert read(spark, root, "silver/trades").count() == 4
+    assert read(spark, root, "silver/quarantine_trades").count() == 3
+    assert jobs._mark(spark, root, table("bronze", "binance_trades")) == "2026-05-01 00:00:10"
