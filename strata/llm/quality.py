@@ -123,10 +123,11 @@ def _paths(node, tests: dict) -> list[Rule]:
 
 
 def fit(labelled: DataFrame, per_class: int = 8_000, trees: int = 16, depth: int = 3, lasso: float = 1e-3) -> Model:
-    """Learn from rows of statistics with `id` and a 0/1 `label`."""
+    """Learn from rows of statistics with `id` and a 0/1 `label`. Rows with a `weight` are a sample already."""
     spark = labelled.sparkSession
     known = labelled.filter(F.col("label").isin(0, 1)).withColumn("label", F.col("label").cast("double"))
-    sample = stage(spark, balanced(known, per_class), "quality-sample").coalesce(1)
+    chosen = known if "weight" in known.columns else balanced(known, per_class)
+    sample = stage(spark, chosen, "quality-sample").coalesce(1)
     classes = [r["label"] for r in sample.select("label").distinct().collect()]
     if len(classes) < 2:
         return Model((), (), {0.0: -40.0, 1.0: 40.0}.get(classes[0]) if classes else 0.0)
@@ -152,9 +153,11 @@ def fit_documents(
 ) -> Model:
     """`fit` on the documents whose id has a 0/1 `label` in `labels`; only the sample's texts are read closely."""
     known = labels.filter(F.col("label").isin(0, 1)).select(F.col(id_col).alias("id"), "label")
-    chosen = F.broadcast(balanced(known, per_class).drop("weight"))  # bounded by the size of the sample
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
-    return fit(statistics(texts, keep=("id", "label")), per_class)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    # Sampled once, by the labels that meet a document, so that the weights are those of `fit` on all of them.
+    picked = balanced(known, per_class, counted=texts.select("id").join(known, "id"))
+    chosen = stage(docs.sparkSession, picked, "quality-chosen")  # its size decides how it is joined
+    return fit(statistics(texts.join(chosen, "id"), keep=("id", "label", "weight")), per_class)
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -96,3 +96,13 @@ def test_obfuscation_features():
     assert names["masked_hits"] == 1 and names["second_person"] > 0
     near = dict(zip(toxicity.FEATURES, toxicity.features_of("you moron", weights), strict=True))
     assert near["near_you"] > 0 and near["insult_density"] == 0.5
+
+
+def test_quality_keeps_the_class_shares_of_a_sample(spark, docs):
+    """Equal texts score the share of their class, however small the sample; labels without a text do not count."""
+    rows = [(i, "the same words for all") for i in range(900)]
+    labels = spark.createDataFrame([(i, int(i % 9 > 0)) for i in range(900)] + [(i, 0) for i in range(2000, 2900)], "doc_id long, label int")
+    facts = quality.statistics(docs(rows), keep=("doc_id",)).join(labels, "doc_id").withColumnRenamed("doc_id", "id")
+    models = [quality.fit(facts, per_class=60), quality.fit_documents(docs(rows), labels, per_class=60)]
+    got = [quality.scored(docs(rows[:1]), model).first().score for model in models]
+    assert abs(got[0] - got[1]) < 1e-9 and abs(got[1] - 8 / 9) < 0.05
