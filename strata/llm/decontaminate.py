@@ -5,9 +5,11 @@ Windows of five template tokens are hashed in every whole document and joined by
 the benchmark items. A document holds an item when it has at least half of the item's windows, so a passage
 with other numbers, units or names is found as well.
 
-Windows with placeholders are only believed if the slots fit: within a document and item, one value of the
-item must always meet the same value of the document and the other way round. Windows with a slot that does
-not fit are not counted.
+Windows with placeholders are only believed if the slots fit: within one place where the item stands (the windows
+of a document and item that lie equally far from the item's; a window belongs to the place with most of them), one value of the item must always meet the same
+value of the document and the other way round. Windows with a slot that does not fit are not counted, unless
+all their values are the item's own. What is put into or left out of a copy parts it into places that are
+judged apart.
 
 The windows of the benchmark are broadcast up to `BROADCAST_ROWS` counted rows (some tens of MB); a larger
 benchmark is joined by a shuffle. NULL and empty texts, and items of fewer than five tokens, match nothing.
@@ -16,7 +18,7 @@ Equal document rows give one result, as do equal items; rows without an id are k
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.sources.tables import stage
@@ -101,7 +103,15 @@ def leaks(
     hits = stage(spark, windows.join(narrow, "hash"), "leak-hits")
     plain = hits.filter(~F.col("slotted")).select("id", "row", "item", "ipos").distinct()
 
-    open_hits = hits.filter("slotted").select("id", "row", "pos", "item", "ipos", "hash")
+    placed = hits.filter("slotted").withColumn("place", F.col("pos") - F.col("ipos"))
+    support = placed.groupBy("row", "item", "place").agg(F.count(F.lit(1)).alias("support"))
+    most = F.max("support").over(Window.partitionBy("row", "item", "pos"))
+    open_hits = stage(
+        spark,
+        placed.join(support, ["row", "item", "place"]).withColumn("most", most).filter("support = most")
+        .select("id", "row", "pos", "item", "ipos", "hash"),
+        "leak-places",
+    )
     wanted = stage(spark, open_hits.select("row").distinct(), "leak-wanted")  # its size decides how it is joined
     spoken = (
         rows.join(wanted, "row").select("row", values(marked(F.col("text"))).alias("raw")).dropDuplicates(["row"])
@@ -112,19 +122,22 @@ def leaks(
         .join(known.filter("slotted").select("item", "ipos", "hash", "shape", "said"), ["item", "ipos", "hash"])
         .select("id", "row", "item", "ipos", "pos", F.explode(F.arrays_zip("shape", "said", "heard")).alias("s"))
         .filter(F.col("s.shape").isin(NUMBER, UNIT, NAME))
-        .select("id", "row", "item", "ipos", "pos", F.col("s.said").alias("said"), F.col("s.heard").alias("heard"))
+        .select(
+            "id", "row", "item", "ipos", "pos", (F.col("pos") - F.col("ipos")).alias("place"),
+            F.col("s.said").alias("said"), F.col("s.heard").alias("heard"),
+        )
     )
     pairs = stage(spark, pairs, "leak-slots")
-    met = pairs.select("row", "item", "said", "heard").distinct()
-    forth = met.groupBy("row", "item", "said").agg(F.count(F.lit(1)).alias("answers"))
-    back = met.groupBy("row", "item", "heard").agg(F.count(F.lit(1)).alias("questions"))
-    judged = pairs.join(forth, ["row", "item", "said"]).join(back, ["row", "item", "heard"])
+    met = pairs.select("row", "item", "place", "said", "heard").distinct()
+    forth = met.groupBy("row", "item", "place", "said").agg(F.count(F.lit(1)).alias("answers"))
+    back = met.groupBy("row", "item", "place", "heard").agg(F.count(F.lit(1)).alias("questions"))
+    judged = pairs.join(forth, ["row", "item", "place", "said"]).join(back, ["row", "item", "place", "heard"])
     fitting = (
         judged.groupBy("id", "row", "item", "ipos", "pos")
-        .agg(F.max(F.greatest("answers", "questions")).alias("worst"))
-        .filter("worst = 1").select("id", "row", "item", "ipos").distinct()
+        .agg(F.max(F.greatest("answers", "questions")).alias("worst"), F.bool_and(F.col("said") == F.col("heard")).alias("own"))
+        .filter("worst = 1 OR own").select("id", "row", "item", "ipos").distinct()
     )
-    slots = met.groupBy("row", "item").agg(F.count(F.lit(1)).alias("slots"))
+    slots = met.select("row", "item", "said", "heard").distinct().groupBy("row", "item").agg(F.count(F.lit(1)).alias("slots"))
     total = known.groupBy("item").agg(F.countDistinct("ipos").alias("item_windows"))
     found = plain.unionByName(fitting).distinct().groupBy("id", "row", "item").agg(F.count(F.lit(1)).alias("windows"))
     return (

@@ -54,3 +54,17 @@ def test_documents_without_leaks(spark, docs):
     frame = docs([(1, ITEM), (2, "clean words only in this one"), (3, None)])
     kept = decontaminate.without_leaks(frame, items(spark, [(7, ITEM)]))
     assert kept.columns == frame.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3]
+
+
+def test_each_place_is_judged_alone(spark, docs):
+    other = ITEM.replace("Boston", "Madrid").replace("9", "7").replace("120", "80").replace("45", "31").replace("10", "25")
+    chance = "it leaves Lisbon at 8 with 99 people and travels 12 km before it stops for 3 minutes near the sea"
+    filler = " ".join(f"plain{i}" for i in range(3000))
+    listed = "the winning numbers of this week are 3 14 15 92 65 35 89 79 32 38 46 and no more"
+    steps = "then " + " ".join(f"add {k} to row {k + 20} and" for k in range(9)) + " stop"
+    rows = [
+        (1, f"{ITEM} and later {other}"), (2, f"{chance} {filler} {ITEM}"), (3, "We read that " + listed), (4, "we say " + steps),
+    ]
+    assert found(spark, docs, rows, [(7, ITEM), (8, listed), (9, steps)]) >= {(1, 7), (2, 7), (3, 8), (4, 9)}
+    clash = "then " + " ".join(f"add {k % 2} to row {k + 20} and" for k in range(9)) + " stop"
+    assert (5, 9) not in found(spark, docs, [(5, clash)], [(9, steps)])
