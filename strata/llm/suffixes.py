@@ -17,12 +17,16 @@ others are induced from them, as induced sorting does with its leftmost-smaller
 A name with more than `crowd` different neighbourhoods is not induced in one task but by hashing each of
 its strings, which Spark groups; the result is the same.
 
+Passages of a number of words may be looked for as well, since they can be shorter than the length. Their anchors
+are picked among runs of words in the same way, and all strings of the anchors that occur twice are hashed.
+
 Results are judged on the input. Matches never cross documents. NULL text has no bytes. Texts shorter than
 the length are kept whole. Repeated rows are occurrences of one another. Columns not named are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +44,7 @@ AROUND = GRAMS - 1  # farthest start left of the anchor, and bytes after COMMON
 SPOT_BITS = 28
 PIECE = 1 << 24  # starts handled at once
 CROWD = 100_000
+PIECE_WORDS = 1 << 16  # passages handled at once
 
 
 def _smallest(values: np.ndarray) -> np.ndarray:
@@ -253,6 +258,91 @@ def repeats(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     return settle(whole.unionByName(induced).unionByName(hashed), "suffix-ranges")
 
 
+PUNCTUATION = bytes(range(33, 48)) + b":;<=>?@[\\]^_`{|}~"
+
+
+def words_of(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of every word between ASCII white space, without the ASCII punctuation round it."""
+    starts, ends, hashes = [], [], []
+    for found in re.finditer(rb"[^\t-\r\x1c-\x20]+", text):
+        word, start = found.group(), found.start()
+        bare = word.lstrip(PUNCTUATION)
+        if bare:
+            start += len(word) - len(bare)
+            word = bare.rstrip(PUNCTUATION)
+        starts.append(start), ends.append(start + len(word)), hashes.append(xxhash.xxh64_intdigest(word))
+    return np.array(starts, np.int64), np.array(ends, np.int64), np.array(hashes, np.uint64)
+
+
+def run_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every run of `size` words: a polynomial in an odd number, so that it can be divided by its powers."""
+    count = len(hashes) - size + 1
+    if count < 1:
+        return np.zeros(0, np.uint64)
+    odd = 0x9E3779B97F4A7C15
+    powers = np.ones(len(hashes) + 1, np.uint64)
+    powers[1:] = np.cumprod(np.full(len(hashes), odd, np.uint64))
+    inverse = np.ones(count, np.uint64)
+    inverse[1:] = np.cumprod(np.full(count - 1, pow(odd, -1, 1 << 64), np.uint64))
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(hashes * powers[:-1], dtype=np.uint64)))
+    out = (sums[size:] - sums[:-size]) * inverse
+    out ^= out >> np.uint64(32)
+    return out * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def word_anchors(hashes: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor of every passage of `words` words (the first of its runs of half as many with the least
+    hash), and the hashes of all such runs."""
+    size = words // 2
+    runs = run_hashes(hashes, size)
+    if len(hashes) < words:
+        return np.zeros(0, np.int64), runs
+    seen = np.lib.stride_tricks.sliding_window_view(runs, words - size + 1)
+    return np.concatenate([
+        np.arange(i, min(i + PIECE_WORDS, len(seen))) + seen[i : i + PIECE_WORDS].argmin(axis=1)
+        for i in range(0, len(seen), PIECE_WORDS)
+    ]), runs
+
+
+def passages(rows: DataFrame, words: int) -> DataFrame:
+    """(row, start, end) of the passages of `words` words in `rows` (row, text) that occur twice or more."""
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, spot, name = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            for owner, text in zip(batch.column("row").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                at, runs = word_anchors(words_of(text)[2], words)
+                at = np.unique(at)
+                row.append(np.full(len(at), owner, np.int64)), spot.append(at), name.append(runs[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(row)), pa.array(np.concatenate(spot)), pa.array(np.concatenate(name).view(np.int64))],
+                names=["row", "spot", "name"],
+            )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, start, end, string = ([np.zeros(0, np.int64)] for _ in range(4))
+            for owner, text, spots in zip(*(batch.column(c).to_pylist() for c in ("row", "text", "spots")), strict=True):
+                starts, ends, hashes = words_of(text)
+                asked = np.flatnonzero(np.isin(word_anchors(hashes, words)[0], spots))
+                row.append(np.full(len(asked), owner, np.int64))
+                start.append(starts[asked]), end.append(ends[asked + words - 1])
+                string.append(run_hashes(hashes, words)[asked].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(c)) for c in (row, start, end, string)], names=["row", "start", "end", "string"]
+            )
+
+    found = settle(map_batches(rows, sampled, "row bigint, spot bigint, name bigint"), "passage-anchors")
+    named = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
+    listed = found.join(named, "name").groupBy("row").agg(F.collect_set("spot").alias("spots"))
+    strings = settle(
+        map_batches(rows.join(listed, "row").select("row", "text", "spots"), cut, "row bigint, start bigint, end bigint, string bigint"),
+        "passage-strings",
+    )
+    twice = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("string")
+    return settle(strings.join(twice, "string").select("row", "start", "end"), "passage-ranges")
+
+
 def _forward(text: bytes, at: int) -> int:
     while at < len(text) and text[at] & 0xC0 == 0x80:
         at += 1
@@ -267,16 +357,19 @@ def _back(text: bytes, at: int) -> int:
 
 def without_repeats(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), crowd: int = CROWD,
-    whole_characters: bool = False,
+    whole_characters: bool = False, words: int | None = None,
 ) -> DataFrame:
     """id and `keep` columns, `kept` (bytes that are left), `spans` (removed [start, end) byte runs) and
-    `n_bytes` of every row. With `whole_characters` the runs shrink to UTF-8 character boundaries."""
+    `n_bytes` of every row. With `whole_characters` the runs shrink to UTF-8 character boundaries.
+    With `words`, repeated passages of so many words are removed as well."""
     kept = [f"k{i}" for i in range(len(keep))]
     base = df.select(
         F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
         *[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], utf8(text_col).alias("text"),
     )
     ranges = repeats(base.select("row", "text"), crowd)
+    if words:
+        ranges = ranges.unionByName(passages(base.select("row", "text"), words))
     per_row = ranges.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
     rows = base.join(per_row, "row", "left").select("id", *kept, "text", "ranges")
 
@@ -308,7 +401,9 @@ def without_repeats(
     return map_batches(rows, work, schema).toDF("id", *keep, "kept", "spans", "n_bytes")
 
 
-def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+def cleaned(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", words: int | None = None
+) -> DataFrame:
     """`docs` with repeated strings taken out of the texts and, if there is one, the length column renewed.
 
     Only whole characters are removed, so what is left is valid text; NULL texts stay NULL."""
@@ -316,7 +411,7 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     names = tuple(f"c{i}" for i in range(len(others)))
     given = docs.select(*[F.col(c).alias(n) for c, n in zip(others, names, strict=True)], F.col(text_col).alias("text"))
     marked = given.withColumn("blank", F.col("text").isNull())
-    left = without_repeats(marked, names[others.index(id_col)], "text", (*names, "blank"), whole_characters=True)
+    left = without_repeats(marked, names[others.index(id_col)], "text", (*names, "blank"), whole_characters=True, words=words)
     text = F.when(~F.col("blank"), F.decode("kept", "UTF-8"))
     columns = {c: F.col(n) for c, n in zip(others, names, strict=True)} | {text_col: text}
     if length_col in columns:

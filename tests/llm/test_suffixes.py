@@ -66,3 +66,21 @@ def test_groups_that_span_batches(spark, docs):
     texts = [f"{rnd.random()} {shared} {rnd.random()}" for _ in range(1300)]
     out = suffixes.without_repeats(docs(list(enumerate(texts))))
     assert max(len(r.kept) for r in out.select("kept").collect()) < 50
+
+
+def test_passages_of_words(spark, docs):
+    rnd = random.Random(6)
+    word = lambda: "".join(rnd.choice("abcdefghié") for _ in range(rnd.randint(1, 4)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    shared, short = prose(51), prose(50)
+    texts = [f"{prose(30)} x{k} ({shared}), y{k} {prose(rnd.randint(0, 90))}" for k in range(5)]
+    texts += [f"{prose(9)} x{k} {short} y{k} {prose(60)}" for k in range(4)] + ["be " * 52, prose(200), ""]
+    got = {r.doc_id: r.text for r in suffixes.cleaned(docs(list(enumerate(texts))), words=51).collect()}
+    places = {}
+    for k, text in enumerate(texts):
+        words = [w.strip("(),") for w in text.split()]
+        for i in range(len(words) - 50):
+            places.setdefault(" ".join(words[i : i + 51]), []).append((k, i))
+    hit = {k for found in places.values() if len(found) > 1 for k, _ in found}
+    assert hit == {0, 1, 2, 3, 4, 9} and len(shared.encode()) < 400
+    assert all(got[k] == t.replace(shared, "") for k, t in enumerate(texts) if k != 9) and got[9].strip() == ""
