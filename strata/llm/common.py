@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strata.session import session_conf
 from strata.sources.tables import stage
 
-BATCH_ROWS = "500"
+BATCH_ROWS, BATCH_BYTES = "500", str(8 << 20)
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,8 +22,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """Texts vary from a word to megabytes, so Arrow batches hold few rows."""
+    """Texts vary from a word to megabytes, so Arrow batches are bounded by rows and by bytes.
+
+    The settings are read when the frame runs, so they stay with the session.
+    """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df
 
 

@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import ann, bpe, chat, decontaminate, langid, lm, quality, simhash, suffixes, toxicity
+from strata.llm import (
+    ann, bpe, chat, decontaminate, langid, lm, packing, periodic, quality, simhash, suffixes, toxicity, variants,
+)
 from strata.llm.common import is_held_out, read, remainder
 from strata.sources.tables import stage
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +93,58 @@ def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumnRenamed("id", "doc_id")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(read(spark, sf_dir, "documents"), packing.LibraryIds(TOKENIZER, 0))
+    return pieces.select(
+        F.col("id").alias("doc_id"), "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset",
+    )
+
+
+def periodic_runs(docs: DataFrame) -> DataFrame:
+    """Runs of texts, of which those with crc32(doc_id) divisible by ten are made periodic from a word on.
+
+    A NULL doc_id has no crc32 and leaves its text as it is.
+    """
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    split = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    sized = split.withColumn("n", F.nullif(F.size("words"), F.lit(0)))
+    placed = sized.withColumn("a", F.expr("CAST(g % n AS INT)"))
+    turned = placed.withColumn("p", F.expr("CAST(1 + (n - a) DIV (3 + g % 8) AS INT)"))
+    again = F.expr("flatten(array_repeat(slice(words, a + 1, p), CAST(ceil((n - a) / p) AS INT)))")
+    made = F.array_join(F.concat(F.expr("slice(words, 1, a)"), F.slice(again, F.lit(1), F.expr("n - a"))), " ")
+    texts = turned.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+    found = periodic.with_runs(texts, keep=("doc_id",)).withColumn("best", periodic.strongest())
+    line = lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(read(spark, sf_dir, "documents"))
+
+
+def spelling_variants(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Variants of the words of texts, in which some runs lose a letter by their crc32; those of a NULL doc_id lose none."""
+    rows = variants.runs(docs, keep=("doc_id",)).withColumns({
+        "h": F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run"))),
+        "size": F.char_length("run"),
+    })
+    gone = F.expr("concat(substring(run, 1, CAST(h % size AS INT)), substring(run, CAST(h % size AS INT) + 2))")
+    words = rows.select(F.when(F.col("h") % 31 == 0, gone).otherwise(F.col("run")).alias("run"))
+    long_enough = words.filter(F.char_length("run") >= variants.LEAST_LENGTH)
+    return variants.variants(spark, variants.counted(long_enough))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(spark, read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": op1_langid,
     "op2_quality": op2_quality,
@@ -101,6 +156,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_suffixes": op9_suffixes,
     "op10_lm": op10_lm,
+    "op11_packing": op11_packing,
+    "op12_periodic": op12_periodic,
+    "op13_variants": op13_variants,
 }
 # None of these has SQL that DuckDB can run; each is tested against a plain version in tests/llm.
 ORACLES: dict[str, str] = {}
