@@ -779,6 +779,23 @@ def stream_rolling_bars(spark, sf_dir):
     return refine.merged_bars(spark, f"{base}/out")
 
 
+@query("stream_bars_two_starts", oracle.with_(oracle.MINUTE, f"""
+SELECT bar_open_ts, symbol, 'crypto' AS asset_class, {oracle.BAR_COLS}, CAST(bar_open_ts AS DATE) AS event_date,
+  'trade_rollup' AS source, '1m' AS timeframe FROM minute"""))
+def stream_bars_two_starts(spark, sf_dir):
+    """Two streams with checkpoints of their own feed one table of bars, and the first starts again under a new
+    checkpoint: every trade counts once."""
+    base = scratch_path(spark, "stream-two")
+    trades = inputs.clean_trades(spark, sf_dir).drop("_raw_json")
+    half = F.pmod(F.xxhash64("trade_id"), F.lit(2))
+    for n in range(2):
+        trades.filter(half == n).write.parquet(f"{base}/in/{n}")
+    for start, n in enumerate((0, 1, 0)):
+        stream = spark.readStream.schema(trades.schema).parquet(f"{base}/in/{n}")
+        _finish(refine.merge_bars(stream, f"{base}/out", f"{base}/checkpoints-{start}", available_now=True))
+    return refine.merged_bars(spark, f"{base}/out")
+
+
 @query("stream_refine_unique", oracle.with_(oracle.CLEAN, f"SELECT {oracle.TRADE_COLS} FROM clean"))
 def stream_refine_unique(spark, sf_dir):
     """The Silver half of a feed that delivers everything twice."""
@@ -818,6 +835,30 @@ def job_silver_rerun(spark, sf_dir):
     return _places(spark, root, silver="trades", quarantine="quarantine_trades")
 
 
+@query("job_silver_resume", oracle.with_(f"{oracle.TRADES},{oracle.FLAGS}", """
+SELECT trade_id, CASE WHEN bad THEN 'quarantine' ELSE 'silver' END AS place FROM judged"""))
+def job_silver_resume(spark, sf_dir):
+    """Bronze arrives in three uneven parts, one without ingest times and one older than what has been read; the
+    Silver job resumes after each, and every trade is in one place, once."""
+    root = scratch_path(spark, "resume")
+    bronze = table("bronze", "binance_trades")
+    rows = inputs.bronze_trades(spark, sf_dir)
+    timeless = {"_ingest_ts": F.lit(None).cast("timestamp"), "ingestion_date": F.lit(None).cast("date")}
+    part = F.pmod(F.xxhash64("trade_id"), F.lit(10))
+    parts = [
+        rows.filter((F.col("trade_time") >= "2024-01-10") & (part < 7)),
+        rows.filter(part >= 7).withColumns(timeless),
+        rows.filter((F.col("trade_time") < "2024-01-10") & (part < 7)),
+    ]
+    for new in parts:
+        tables.append(
+            tables.binned(conform(new, bronze), bronze.partition_by), table_path(root, "bronze", bronze.name),
+            bronze.partition_by,
+        )
+        jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF, resume=True)
+    return _places(spark, root, silver="trades", quarantine="quarantine_trades")
+
+
 @query("job_replay_conserves", oracle.with_(f"{oracle.TRADES},{oracle.FLAGS}", """
 SELECT trade_id, CASE WHEN f1 OR f2 OR f3 OR f5 OR f6 THEN 'exhausted' ELSE 'silver' END AS place FROM judged"""))
 def job_replay_conserves(spark, sf_dir):

@@ -27,6 +27,7 @@ from strata.operators.rules import SHORT_TIMEFRAMES, bar_gate, gold_bar_gate, sh
 from strata.operators.typed import silver_bars, silver_trades
 from strata.schemas import TableSpec, conform, table, table_path
 from strata.session import frees_scratch
+from strata.sources import consumed
 from strata.sources.feeds import feed_of
 from strata.sources.tables import (
     append,
@@ -82,8 +83,8 @@ def bronze_to_silver(
     halves agree either way. A failed row that is in quarantine, was archived from it or was promoted from it
     is known by its content and does not enter again.
 
-    With `resume` the run starts after the ingest time that the last such run noted in the run log, and notes its
-    own when all is written; only newer Bronze days are read.
+    With `resume` the run reads only the Bronze files that no earlier such run has noted in the ledger of consumed
+    files, whatever times their rows carry, and notes its own when all is written.
 
     Clean rows are inserted if their key is absent. `unique=False` appends them as they are, a job
     without any shuffle, for a first load of a feed that is known to deliver once; such a run must
@@ -94,15 +95,13 @@ def bronze_to_silver(
     feed = feed_of(bronze_table or default_table)
     clock = as_of or _now(spark)
     source = table("bronze", feed.bronze_table)
-    if resume and last_ingest_ts is None:
-        last_ingest_ts = _mark(spark, root, source)
-    bronze = _read(spark, root, source)
-    newest = None
+    consumer = f"silver_{kind}:{feed.bronze_table}"
     if resume:
-        fresh = since(bronze, last_ingest_ts)
-        newest = fresh.agg(F.max(F.unix_micros("_ingest_ts"))).first()[0]
-        # Rows that land while the job runs belong to the next run.
-        bronze = bronze.filter(F.unix_micros("_ingest_ts") <= newest) if newest is not None else bronze.limit(0)
+        bronze, files = consumed.unread(spark, root, source, consumer)
+        if not files:
+            return
+    else:
+        bronze = _read(spark, root, source)
     typed = normalise(since(bronze, last_ingest_ts), feed.source, feed.asset_class)
     if kind == "bars":
         typed = typed.withColumn("timeframe", short_timeframe())
@@ -119,26 +118,14 @@ def bronze_to_silver(
             append(conform(passing, clean), _path(root, clean), clean.partition_by)
         failed = with_metadata(gate.quarantined(typed, computed=parsed), clock)
         _enter(spark, conform(failed, bad), root, bad, promoted_to=clean)
-        if newest is not None:
-            _log(spark, root, clock, MARK, source, ingest_us=newest)
+        if resume:
+            consumed.note(spark, root, consumer, files, str(clock))
+            _log(spark, root, clock, "silver_resume", source, files_read=len(files))
     finally:
         if level is not None:
             typed.unpersist()
 
 
-MARK = "silver_mark"
-
-
-def _mark(spark: SparkSession, root: str, source: TableSpec) -> str | None:
-    """The newest ingest time a resumed run has worked off, as text."""
-    spec = table("gold", "maintenance_metrics")
-    log = read_if_exists(spark, _path(root, spec), schema=spec.schema)
-    if log is None:
-        return None
-    own = (F.col("operation") == MARK) & (F.col("table") == source.name) & (F.col("layer") == source.layer)
-    return log.filter(own).agg(F.timestamp_micros(F.max("value")).cast("string")).first()[0]
-
-
 def _enter(
     spark: SparkSession, failed: DataFrame, root: str, spec: TableSpec, promoted_to: TableSpec | None = None
 ) -> None:
@@ -348,16 +335,19 @@ def _file_count(spark: SparkSession, path: str, where: Column | None) -> int:
     return (files if where is None else files.filter(where)).count()
 
 
+@frees_scratch
 def _optimize(
     spark: SparkSession, root: str, spec: TableSpec, where: Column | None, target_bytes: int,
     run_ts: Moment,
 ) -> None:
     path = _path(root, spec)
     before = _file_count(spark, path, where)
+    listed = stage(spark, consumed.listing(spark, root, spec), "listing")
     if spec.cluster_by:
         layout.cluster(spark, path, spec.partition_by, spec.cluster_by, where, target_bytes)
     else:
         layout.compact(spark, path, spec.partition_by, where, target_bytes)
+    consumed.carry_over(spark, root, listed, consumed.listing(spark, root, spec), str(run_ts or _now(spark)))
     _log(spark, root, run_ts, "cluster" if spec.cluster_by else "compact", spec,
          files_before=before, files_after=_file_count(spark, path, where))
 

@@ -64,6 +64,7 @@ MAINTENANCE_LOG = (
     "run_ts TIMESTAMP, run_date DATE, operation STRING, layer STRING, table STRING, "
     "metric STRING, value BIGINT"
 )
+CONSUMED_FILES = "consumer STRING, file STRING, noted_ts TIMESTAMP"
 _QUARANTINE_EXTRAS = (
     f"_quality_failures {FAILURES}, _error_code STRING NOT NULL, _error_msg STRING, "
     "_quarantined_ts TIMESTAMP NOT NULL, quarantined_date DATE NOT NULL, "
@@ -119,6 +120,7 @@ TABLES: dict[tuple[str, str], TableSpec] = {
         TableSpec("gold", "quarantine_bars", f"{GOLD_BARS}, {_QUARANTINE_EXTRAS}",
                   "quarantined_date", key=_BAR_KEY, keep_days=30),
         TableSpec("gold", "maintenance_metrics", MAINTENANCE_LOG, "run_date"),
+        TableSpec("gold", "consumed_files", CONSUMED_FILES, "consumer"),
     )
 }
 

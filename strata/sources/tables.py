@@ -136,6 +136,45 @@ def _partition_filter(column: str, values: list) -> Column:
     return hit | F.col(column).isNull() if len(known) < len(values) else hit
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def staged_beside(path: str) -> str:
+    """Where writers stage files that are to be moved into a table: the same store, but not the table."""
+    return f"{path.rstrip('/')}__staged"
+
+
+def move_in(spark: SparkSession, staged: str, path: str) -> None:
+    """Move the data files of a staged frame into the same partition folders of a table.
+
+    File names are unique, so a move that was cut short goes on with the files that are left.
+    """
+    fs, source = _file_system(spark, staged)
+    if not fs.exists(source):
+        return
+    new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    top = fs.getFileStatus(source).getPath().toString()
+    files = fs.listFiles(source, True)
+    moves = []
+    while files.hasNext():
+        file = files.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            moves.append((file, new_path(f"{path.rstrip('/')}/{file.toString()[len(top) + 1:]}")))
+    for file, target in moves:
+        fs.mkdirs(target.getParent())
+        if fs.exists(target):  # a copying store died between the copy and the removal of the source
+            fs.delete(target, False)
+        if not fs.rename(file, target):
+            raise OSError(f"cannot move {file} to {target}")
+
+
 def partition_values(df: DataFrame, column: str) -> list:
     """Distinct values of a day column: at most one per directory the driver lists anyway."""
     return [row[0] for row in df.select(column).distinct().collect()]

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from strata.schemas import table_path
 from strata.sources.feeds import FEEDS, Feed, annotate, promoted, stream_evolving, stream_jsonl
-from strata.streaming.sinks import TRIGGER_SECONDS, BatchAppender, start
+from strata.streaming.ledger import LedgerAppender
+from strata.streaming.sinks import TRIGGER_SECONDS, start
 
 
 def write_bronze(
@@ -25,10 +26,10 @@ def write_bronze(
     The checkpoint remembers consumed files and the batch clock, so a repeated batch carries the same
     `_ingest_ts` and a restart neither repeats nor loses rows.
     """
-    sink = BatchAppender(path, "ingestion_date", "_ingest_ts")
+    sink = LedgerAppender(path, "ingestion_date")
     return start(
         annotate(records, source, ingested_at),
-        lambda batch, _: sink.write(batch),
+        sink.write,
         checkpoint,
         trigger_seconds,
         available_now,

@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,8 +16,11 @@ from strata.operators.rules import bar_gate, short_timeframe, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
 from strata.schemas import conform, table, table_path
 from strata.sources.feeds import FEEDS, Feed
-from strata.sources.tables import insert_new, partition_values, read_if_exists, read_table, replace_partitions, stage
-from strata.streaming.sinks import TRIGGER_SECONDS, BatchAppender, start
+from strata.sources.tables import (
+    append, insert_new, partition_values, read_if_exists, read_table, replace_partitions, stage,
+)
+from strata.streaming.ledger import BatchLedger, LedgerAppender, row_content
+from strata.streaming.sinks import TRIGGER_SECONDS, start
 
 
 def refine(
@@ -45,8 +48,7 @@ def refine(
     clean, bad = table("silver", kind), table("silver", f"quarantine_{kind}")
     clean_path = table_path(root, clean.layer, clean.name)
     clean_sink, bad_sink = (
-        BatchAppender(table_path(root, spec.layer, spec.name), spec.partition_by, ts_col)
-        for spec, ts_col in ((clean, "ingest_ts"), (bad, "_quarantined_ts"))
+        LedgerAppender(table_path(root, spec.layer, spec.name), spec.partition_by) for spec in (clean, bad)
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -65,8 +67,8 @@ def refine(
                     clean.key, ("ingest_ts",),
                 )
             else:
-                clean_sink.write(conform(gate.passing(typed), clean))
-            bad_sink.write(conform(with_metadata(gate.quarantined(typed), clock), bad))
+                clean_sink.write(batch, batch_id, conform(gate.passing(typed), clean))
+            bad_sink.write(batch, batch_id, conform(with_metadata(gate.quarantined(typed), clock), bad))
         finally:
             typed.unpersist()
 
@@ -139,11 +141,11 @@ def keep_first_bars(
 _BAR_STATE = (
     "bar_open_ts TIMESTAMP, symbol STRING, asset_class STRING, open DECIMAL(38,18), high DECIMAL(38,18), "
     "low DECIMAL(38,18), close DECIMAL(38,18), volume DECIMAL(38,18), notional DECIMAL(38,6), trade_count BIGINT, "
-    "first_order DECIMAL(38,0), last_order DECIMAL(38,0), last_batch BIGINT, event_date DATE"
+    "first_order DECIMAL(38,0), last_order DECIMAL(38,0), event_date DATE"
 )
 
 
-def _folded(parts: DataFrame) -> DataFrame:
+def _folded(parts: DataFrame, *more: Column) -> DataFrame:
     """Partial bars of one minute, symbol and asset class combined; the fold is associative."""
     return parts.groupBy("bar_open_ts", "symbol", "asset_class").agg(
         F.min_by("open", "first_order").alias("open"),
@@ -155,41 +157,49 @@ def _folded(parts: DataFrame) -> DataFrame:
         F.sum("trade_count").alias("trade_count"),
         F.min("first_order").alias("first_order"),
         F.max("last_order").alias("last_order"),
-        F.max("last_batch").alias("last_batch"),
+        *more,
     ).withColumn("event_date", F.to_date("bar_open_ts"))
 
 
+def _stage_merged(batch: DataFrame, path: str, staged: str) -> tuple[int, int | None]:
+    """Stage the bars of the touched days with a batch of trades in them; the number and content of its rows."""
+    spark = batch.sparkSession
+    order = F.when(F.col("price").isNotNull(), trade_order())
+    parts = batch.select(
+        bucket_start("event_ts", "1m").alias("bar_open_ts"), "symbol", "asset_class",
+        F.col("price").alias("open"), F.col("price").alias("high"), F.col("price").alias("low"),
+        F.col("price").alias("close"), F.col("quantity").alias("volume"), "notional",
+        F.lit(1).alias("trade_count"), order.alias("first_order"), order.alias("last_order"),
+        row_content(batch).alias("content"),
+    )
+    fresh = stage(spark, _folded(parts, F.sum("content").alias("content")), "bar-batch")
+    rows, content = fresh.agg(F.coalesce(F.sum("trade_count"), F.lit(0)), F.sum("content")).first()
+    if rows:
+        stored = read_if_exists(spark, path, schema=_BAR_STATE)
+        fresh = conform(fresh, _BAR_STATE)
+        if stored is not None:
+            same_day = [F.col("event_date").eqNullSafe(F.lit(day)) for day in partition_values(fresh, "event_date")]
+            touched = stored.filter(reduce(lambda a, b: a | b, same_day))
+            fresh = conform(_folded(touched.unionByName(fresh)), _BAR_STATE)
+        append(fresh, staged, "event_date")
+    return rows, content
+
+
 def merge_bars(
     trades: DataFrame, path: str, checkpoint: str, trigger_seconds: int = TRIGGER_SECONDS, available_now: bool = False
 ) -> StreamingQuery:
     """One-minute bars kept up to date as trades arrive, late ones included; read them by `merged_bars`.
 
-    A batch is folded to partial bars and merged into the stored bars of its days. Each bar remembers the
-    last batch, and a day that holds this batch already is left alone when the batch is repeated.
+    A batch is folded to partial bars, and the bars of the days it touches are stored anew with them. The ledger of the table
+    knows each batch of each stream, so several streams may feed one table, one after the other or together.
     """
+    # The staged bars stand for whole days, so putting them in again changes nothing.
+    ledger = BatchLedger(path, lambda spark, staged: replace_partitions(
+        spark, read_table(spark, staged, schema=_BAR_STATE), path, "event_date"
+    ))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        order = F.when(F.col("price").isNotNull(), trade_order())
-        parts = batch.select(
-            bucket_start("event_ts", "1m").alias("bar_open_ts"), "symbol", "asset_class",
-            F.col("price").alias("open"), F.col("price").alias("high"), F.col("price").alias("low"),
-            F.col("price").alias("close"), F.col("quantity").alias("volume"), "notional",
-            F.lit(1).alias("trade_count"), order.alias("first_order"), order.alias("last_order"),
-            F.lit(batch_id).alias("last_batch"),
-        )
-        fresh = stage(spark, conform(_folded(parts), _BAR_STATE), "bar-batch")
-        days = partition_values(fresh, "event_date")
-        stored = read_if_exists(spark, path, schema=_BAR_STATE)
-        if stored is not None:
-            same_day = [F.col("event_date").eqNullSafe(F.lit(day)) for day in days]
-            touched = stored.filter(reduce(lambda a, b: a | b, same_day, F.lit(False)))
-            done = partition_values(touched.filter(F.col("last_batch") >= batch_id), "event_date")
-            for day in done:
-                fresh = fresh.filter(~F.col("event_date").eqNullSafe(F.lit(day)))
-                touched = touched.filter(~F.col("event_date").eqNullSafe(F.lit(day)))
-            fresh = conform(_folded(touched.unionByName(fresh)), _BAR_STATE)
-        replace_partitions(spark, fresh, path, "event_date")
+        ledger.commit(batch, batch_id, lambda staged: _stage_merged(batch, path, staged))
 
     return start(trades, write, checkpoint, trigger_seconds, available_now)
 

@@ -1,9 +1,8 @@
-"""Exactly-once appends of micro-batches to plain partitioned tables.
+"""How streams are started.
 
 A file sink would keep a log of every file ever written in the table folder, which grows with the
-table and forbids compaction and retention. Instead each batch is appended by an ordinary write. A
-batch can only be repeated as the first one after a (re)start, so only that batch is compared with
-what a former attempt may have left behind.
+table and forbids compaction and retention. Instead each batch is written by `foreachBatch`, exactly once, through
+the ledger of its table (`strata.streaming.ledger`).
 """
 
 from __future__ import annotations
@@ -11,38 +10,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.sources.tables import append, append_missing, read_if_exists
-
 TRIGGER_SECONDS = 30
 
 
-class BatchAppender:
-    """Appends batches to one table; `ts_col` is the time that tells batches apart."""
-
-    def __init__(self, path: str, partition_by: str, ts_col: str):
-        self.path, self.partition_by, self.ts_col = path, partition_by, ts_col
-        self.may_repeat = True
-
-    def write(self, batch: DataFrame) -> None:
-        if self.may_repeat and read_if_exists(batch.sparkSession, self.path) is not None:
-            # One pass over the batch; the set holds its day partitions.
-            low, high, days, undated = batch.agg(
-                F.min(self.ts_col),
-                F.max(self.ts_col),
-                F.collect_set(self.partition_by),
-                F.count_if(F.col(self.partition_by).isNull()),
-            ).first()
-            former = F.col(self.ts_col).between(F.lit(low), F.lit(high))
-            touched = [*days, None] if undated else days
-            append_missing(batch, self.path, self.partition_by, touched, former)
-        else:
-            append(batch, self.path, self.partition_by)
-        self.may_repeat = False
-
-
 def start(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],

@@ -1,5 +1,6 @@
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from helpers import BRONZE_DDL, trade, write_lines
@@ -12,7 +13,7 @@ from strata.plans.jobs import bronze_to_silver
 from strata.schemas import BAR_WIRE, TRADE_WIRE, table_path
 from strata.sources import feeds, tables
 from strata.streaming import ingest, refine
-from strata.streaming.sinks import BatchAppender
+from strata.streaming import ledger as batches
 
 
 @pytest.fixture
@@ -89,18 +90,70 @@ def test_evolving_stream(spark, lake):
     assert rows[1]._rescued == {"is_self_match": "true"} and rows[None]._corrupt
 
 
-def test_a_repeated_batch_adds_only_what_is_missing(spark, root):
+class Killed(Exception):
+    pass
+
+
+def test_a_killed_batch_is_taken_up_once(spark, root, monkeypatch):
+    """The driver dies while the files of a batch are moved into the table, and starts again."""
     batch = spark.createDataFrame(
-        [(n, datetime(2026, 4, 30, 12)) for n in (1, 2, 2, 3)], "n int, _ingest_ts timestamp"
+        [(n, datetime(2026, 4, 30 - n % 3, 12)) for n in (1, 2, 2, 3, 4, 5)], "n int, _ingest_ts timestamp"
     ).withColumn("ingestion_date", F.to_date("_ingest_ts"))
-    # What a first attempt left behind before its driver died.
-    tables.append(batch.filter("n <> 3").dropDuplicates(["n"]), root, "ingestion_date")
-    restarted = BatchAppender(root, "ingestion_date", "_ingest_ts")
-    restarted.write(batch)
-    assert sorted(r.n for r in tables.read_table(spark, root).collect()) == [1, 2, 2, 3]
-    later = batch.withColumn("_ingest_ts", F.expr("_ingest_ts + INTERVAL '1' MINUTE"))
-    restarted.write(later)
-    assert tables.row_count(spark, root) == 8
+
+    def dies(spark, staged, path):
+        moved = sorted(Path(staged).rglob("part-*"))[0]
+        target = Path(path) / moved.relative_to(staged)
+        target.parent.mkdir(parents=True, exist_ok=True)
+        moved.rename(target)
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        patch.setattr(batches, "move_in", dies)
+        with pytest.raises(Killed):
+            batches.LedgerAppender(root, "ingestion_date").write(batch, 0)
+    assert 0 < tables.row_count(spark, root) < 6
+    restarted = batches.LedgerAppender(root, "ingestion_date")
+    assert not restarted.write(batch, 0)  # what had begun is finished, and the batch is known
+    assert sorted(r.n for r in tables.read_table(spark, root).collect()) == [1, 2, 2, 3, 4, 5]
+    assert restarted.write(batch, 1) and not restarted.write(batch, 1)  # equal rows of a later batch are new rows
+    assert tables.row_count(spark, root) == 12
+    assert not any(Path(tables.staged_beside(root)).iterdir())
+    assert restarted.ledger.entries(spark).filter("state = 'done'").count() == 2
+    assert not restarted.write(batch.limit(0), 2) and tables.row_count(spark, root) == 12
+
+
+def bar_stream(spark, folder):
+    raw = feeds.stream_jsonl(spark, folder, TRADE_WIRE, 1).withColumn("_ingest_ts", F.col("event_time"))
+    return silver_trades(raw)
+
+
+def test_two_streams_and_a_kill_feed_one_table_of_bars(spark, lake, monkeypatch):
+    rows = [trade(n, price=str(100 + n % 7), quantity="2", ts=f"2026-04-{29 + n % 2}T12:{n % 50:02d}:{n % 60:02d}Z") for n in range(120)]
+    for n in range(6):
+        write_lines(f"{lake['landing']}/{n % 2}", f"{n}.jsonl", rows[n * 20:n * 20 + 20])
+    replace, calls = tables.replace_partitions, []
+
+    def dies_once(*args, **named):
+        calls.append(1)
+        if len(calls) == 2:
+            replace(*args, **named)  # the days are swapped, but the ledger does not hear of it
+            raise Killed
+        replace(*args, **named)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refine, "replace_partitions", dies_once)
+        query = refine.merge_bars(bar_stream(spark, f"{lake['landing']}/0"), lake["tables"], lake["checkpoints"] + "-0", available_now=True)
+        with pytest.raises(Exception, match="Killed"):
+            query.awaitTermination(120)
+    # The second stream begins at batch 0 too, and first finishes what the first one left open.
+    for n in (1, 0, 1):
+        run(refine.merge_bars(bar_stream(spark, f"{lake['landing']}/{n}"), lake["tables"], lake["checkpoints"] + f"-{n}", available_now=True))
+    got = refine.merged_bars(spark, lake["tables"])
+    batch = feeds.scan_jsonl(spark, lake["landing"], TRADE_WIRE).withColumn("_ingest_ts", F.col("event_time"))
+    want = one_minute_bars(silver_trades(batch))
+    columns = sorted(want.columns)
+    assert got.agg(F.sum("trade_count")).first()[0] == 120
+    assert got.select(*columns).exceptAll(want.select(*columns)).isEmpty() and got.count() == want.count()
 
 
 def test_refine_splits_each_batch_once(spark, lake):
