@@ -15,17 +15,18 @@ stored table, which a lost executor cannot take away.
 
 from __future__ import annotations
 
+import json
 import os
-import re
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import count
+from itertools import count, pairwise
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ from strata.llm.common import map_batches, settle, small_batches, utf8, worker_c
 SIZE = 1024
 OPEN = 32  # windows a partition keeps open
 FAN = 8  # partitions whose leftovers are merged together
-LONG_TEXT = 1 << 18  # characters the tokenizer is given at once
+# Fixed value: how byte-level tokenizer files split a text.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, part bigint"
 
 
@@ -152,11 +154,33 @@ class Rows:
         return batch
 
 
+def _byte_characters() -> dict[str, int]:
+    """The character that a byte-level tokenizer file writes for each byte: itself if it can be seen, else one
+    from 256 on, in order."""
+    seen = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {**{chr(b): b for b in seen}, **{chr(256 + i): b for i, b in enumerate(hidden)}}
+
+
+def file_ranks(path: str) -> dict[bytes, int] | None:
+    """The vocabulary of a tokenizer file as ranks, or None if its merges are not in the order of their ids."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, special = spec["model"], {token["content"] for token in spec["added_tokens"]}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    merged = [model["vocab"][left + right] for left, right in pairs]
+    plain = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel" and not spec["pre_tokenizer"]["add_prefix_space"]
+    if not plain or any(a >= b for a, b in pairwise(merged)):
+        return None
+    byte = _byte_characters()
+    return {bytes(map(byte.__getitem__, token)): i for token, i in model["vocab"].items() if token not in special}
+
+
 class LibraryIds:
-    """An encoder for `pack`: ids of a tokenizer file without special tokens, then `end`.
+    """An encoder for `pack`: the ids that the tokenizers library gives by a file, without special tokens, then `end`.
 
-    Long texts are cut for the library where a blank follows other characters: the tokenizer's own pattern never
-    crosses such a place, so the ids are the same.
+    A byte-level file whose merges stand in the order of their ids says the same as ranks, for which there is a
+    library several times as fast; other files are left to the tokenizers library itself.
     """
 
     def __init__(self, path: str, end: int):
@@ -164,23 +188,16 @@ class LibraryIds:
 
     def __call__(self) -> Callable[[list[str]], list[np.ndarray]]:
         path, end = self.key
-        tokenizer = Tokenizer.from_file(path)
-        tokenizer.encode_special_tokens = True
-        gap = re.compile(r"(?<=\S)(?=[ \t\n])")
-        tail = [np.array([end], np.uint32)]
-
-        def parts(text: str) -> list[str]:
-            cut, at = [], 0
-            while len(text) - at > LONG_TEXT and (found := gap.search(text, at + LONG_TEXT)):
-                cut.append(text[at:found.start()])
-                at = found.start()
-            return [*cut, text[at:]]
-
-        def ids(text: str) -> np.ndarray:
-            known = [np.array(tokenizer.encode_batch_fast([p], add_special_tokens=False)[0].ids, np.uint32) for p in parts(text)]
-            return np.concatenate(known + tail)
-
-        return lambda texts: [ids(text) for text in texts]
+        tail = np.array([end], "<u4")
+        ranks = file_ranks(path)
+        if ranks is None:
+            tokenizer = Tokenizer.from_file(path)
+            tokenizer.encode_special_tokens = True
+            known = lambda text: np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        else:
+            encoding = tiktoken.Encoding("file", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
+            known = lambda text: encoding.encode_to_numpy(text, disallowed_special=())
+        return lambda texts: [np.concatenate([known(text), tail]).astype("<u4", copy=False) for text in texts]
 
 
 def _pack_scan(

@@ -1,10 +1,14 @@
+import json
 import random
 from collections import defaultdict
+from pathlib import Path
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from strata.llm import packing
@@ -89,13 +93,38 @@ def test_many_partitions_are_merged_in_rounds(spark, docs, monkeypatch):
         pack(many, LibraryIds(PATH, 0), size=100)
 
 
-def test_long_texts_are_cut_where_the_pattern_cuts(monkeypatch):
-    monkeypatch.setattr(packing, "LONG_TEXT", 10)
+def test_the_ids_are_those_of_the_library(monkeypatch):
     rnd = random.Random(3)
     encode = LibraryIds(PATH, 0)()
-    for _ in range(300):
-        text = "".join(rnd.choice(("a", "b'll", " ", "  ", "\n", "\t", "7", "é", " ", "　", "!", "<|endoftext|>", "\x1c")) for _ in range(60))
+    some = ("a", "b'll", " ", "  ", "\n", "\t", "\r\n", "7", "é", "\xa0", "\x85", "\u2003", "　", "!", "<|endoftext|>", "\x1c", "\x1f",
+            "\u200b", "\u180e", "\u1680", "\u2028", "語", "🙂", "'", "\x0b", "\x0c", "\ufeff", "\x00", "x" * 100)
+    for _ in range(1500):
+        text = "".join(rnd.choice(some) for _ in range(rnd.randint(0, 60)))
+        assert encode([text])[0].tolist() == ids(text), repr(text)
+    for text in ("a" * 5000, " " * 3000 + "x", "ab" * 4000, "é" * 900, "".join(rnd.choice("aeinrst") for _ in range(30_000))):
         assert encode([text])[0].tolist() == ids(text)
+    monkeypatch.setattr(packing, "file_ranks", lambda path: None)  # a file that says more than ranks
+    assert LibraryIds(PATH, 0)()(["it's <|endoftext|> so"])[0].tolist() == ids("it's <|endoftext|> so")
+
+
+def test_ranks_of_a_file(tmp_path):
+    import base64
+
+    with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+        assert packing.file_ranks(PATH) == {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    spec = json.loads(Path(PATH).read_text())
+    spec["model"]["merges"][:2] = spec["model"]["merges"][1::-1]
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    assert packing.file_ranks(str(tmp_path / "other.json")) is None
+
+
+SHARED = LibraryIds(PATH, 0)()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(max_size=40), max_size=5))
+def test_any_text(texts):
+    assert [found.tolist() for found in SHARED(texts)] == [ids(text) for text in texts]
 
 
 def test_query(spark):
