@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.market import seconds_between
@@ -74,6 +74,45 @@ def quarantine_alert(metrics: DataFrame) -> DataFrame:
     )
 
 
+def lasting_alerts(
+    samples: DataFrame, for_minutes: int = 10, stale_minutes: int = 5, as_of: datetime | str | None = None
+) -> DataFrame:
+    """Stretches in which a sampled metric stayed above zero, and whether they lasted long enough to alert.
+
+    `samples` are rows of the run log (run_ts, layer, table, metric, value). A stretch ends with a sample of zero
+    or when none has come for `stale_minutes`; a metric that flaps starts anew each time. One row a stretch:
+    active_since, last_seen, fired_at (the first sample `for_minutes` after the start, or NULL) and state: `firing`
+    or `pending` while the metric's last sample is above zero and not stale at `as_of`, else `resolved` if it
+    had fired and `inactive` if not. Repeated samples of one moment count by the highest; NULL values are no samples.
+
+    A metric is one key of the window, a number per sample and no more; read the days of the log that matter.
+    """
+    key = ["layer", "table", "metric"]
+    once = samples.filter("value IS NOT NULL AND run_ts IS NOT NULL").groupBy(*key, "run_ts").agg(F.max("value").alias("value"))
+    in_time = Window.partitionBy(*key).orderBy("run_ts")
+    gap = F.make_dt_interval(mins=F.lit(stale_minutes))
+    before = once.withColumns({
+        "above": F.col("value") > 0,
+        "starts": F.coalesce(
+            (F.lag("value").over(in_time) <= 0) | (F.lag("run_ts").over(in_time) < F.col("run_ts") - gap), F.lit(True)
+        ),
+        "newest": F.max("run_ts").over(Window.partitionBy(*key)),
+    })
+    numbered = before.filter("above").withColumn("stretch", F.sum(F.col("starts").cast("int")).over(in_time))
+    firing_from = F.col("active_since") + F.make_dt_interval(mins=F.lit(for_minutes))
+    since_start = numbered.withColumn("active_since", F.min("run_ts").over(Window.partitionBy(*key, "stretch")))
+    stretches = since_start.groupBy(*key, "active_since").agg(
+        F.max("run_ts").alias("last_seen"),
+        F.min(F.when(F.col("run_ts") >= firing_from, F.col("run_ts"))).alias("fired_at"),
+        F.max("value").alias("highest"), F.max("newest").alias("newest"),
+    )
+    now = F.col("newest") if as_of is None else F.lit(str(as_of)).cast("timestamp")
+    lives = (F.col("last_seen") == F.col("newest")) & (now <= F.col("last_seen") + gap)
+    fired = F.col("fired_at").isNotNull()
+    state = F.when(lives & fired, "firing").when(lives, "pending").when(fired, "resolved").otherwise("inactive")
+    return stretches.select(*key, "active_since", "last_seen", "fired_at", "highest", state.alias("state"))
+
+
 def health_rates(
     clean: DataFrame,
     quarantined: DataFrame,

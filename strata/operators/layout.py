@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.curve import with_morton_key
 from strata.session import scratch_root, session_conf
 from strata.sources.tables import (
     append,
@@ -17,6 +18,7 @@ from strata.sources.tables import (
     partition_values,
     read_table,
     replace_partitions,
+    staged_beside,
     table_files,
 )
 
@@ -31,19 +33,23 @@ def recent(column: str, as_of: date | datetime | str, days: int) -> Column:
 
 
 def clustered(
-    df: DataFrame, partition_by: str, cluster_by: tuple[str, ...], files: int | None = None
+    df: DataFrame, partition_by: str, cluster_by: tuple[str, ...], files: int | None = None, curve: bool = True
 ) -> DataFrame:
     """Rows range-partitioned by day and cluster columns, so files have narrow min-max ranges.
 
-    A running number ends the range key: one symbol with most of a day is cut over several tasks
-    instead of making one giant file.
+    Several columns are ordered along a Morton curve, so that a filter on any of them skips files; without `curve`
+    by the first, then the second and so on, which serves the first only. A running number ends the range
+    key: one symbol with most of a day is cut over several tasks instead of making one giant file.
     """
-    order = [partition_by, *cluster_by, "_seq"]
     numbered = df.withColumn("_seq", F.monotonically_increasing_id())
+    key = list(cluster_by)
+    if curve and len(cluster_by) > 1:
+        numbered, key = with_morton_key(numbered, cluster_by), ["_curve"]
+    order = [partition_by, *key, "_seq"]
     ranged = (
         numbered.repartitionByRange(files, *order) if files else numbered.repartitionByRange(*order)
     )
-    return ranged.sortWithinPartitions(*order).drop("_seq")
+    return ranged.sortWithinPartitions(*order).drop("_seq", "_curve")
 
 
 def _part(spark: SparkSession, path: str, where: Column | None) -> DataFrame:
@@ -102,10 +108,11 @@ def cluster(
     cluster_by: tuple[str, ...],
     where: Column | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
+    curve: bool = True,
 ) -> None:
     """Rewrite the matching partitions ordered by the cluster columns. Rows are unchanged."""
     files = max(1, -(-_bytes(spark, path, where) // target_bytes))
-    ordered = clustered(_part(spark, path, where), partition_by, cluster_by, files)
+    ordered = clustered(_part(spark, path, where), partition_by, cluster_by, files, curve)
     replace_partitions(spark, ordered, path, partition_by, rebalance=False)
 
 
@@ -147,21 +154,42 @@ def expire(
     return drop_partitions(spark, path, partition_by, values)
 
 
+def _listed(spark: SparkSession, folder: str) -> list:
+    """What lies directly in a folder, which may be missing."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return list(fs.listStatus(target)) if fs.exists(target) else []
+
+
+def _delete_old(spark: SparkSession, found: list, before: datetime, live: set[str] = frozenset()) -> int:
+    """Delete listed paths not written to since a moment, unless their names are live; returns how many."""
+    cutoff = before.timestamp() * 1000
+    old = [s.getPath() for s in found if s.getModificationTime() < cutoff and s.getPath().getName() not in live]
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return sum(bool(path.getFileSystem(conf).delete(path, True)) for path in old)
+
+
 def purge_scratch(spark: SparkSession, retain_hours: int = 168) -> int:
     """Delete staged copies that no run has written to for `retain_hours`; returns how many."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0
-    cutoff = (datetime.now() - timedelta(hours=retain_hours)).timestamp() * 1000
-    old = [
-        staged.getPath()
-        for app in fs.listStatus(root)
-        for staged in fs.listStatus(app.getPath())
-        if staged.getModificationTime() < cutoff
-    ]
-    return sum(bool(fs.delete(path, True)) for path in old)
+    staged = [s for app in _listed(spark, scratch_root(spark)) for s in _listed(spark, app.getPath().toString())]
+    return _delete_old(spark, staged, datetime.now() - timedelta(hours=retain_hours))
+
+
+def orphans(spark: SparkSession, path: str) -> list:
+    """What writers have left in and beside a table and no reader lists: folders of writes that never ended."""
+    # The folders in which Spark's writers stage files.
+    inside = [s for s in _listed(spark, path) if s.getPath().getName().startswith((".spark-staging-", "_temporary"))]
+    return inside + _listed(spark, staged_beside(path))
+
+
+def vacuum(spark: SparkSession, path: str, retain_hours: int = 168, live: set[str] = frozenset()) -> int:
+    """Delete the orphans of a table that are older than `retain_hours`; returns how many.
+
+    Data files are never touched, so a reader of the table notices nothing. `live` names staged folders that a
+    batch begun and not done will still put in. The folder is listed, not its partitions.
+    """
+    return _delete_old(spark, orphans(spark, path), datetime.now() - timedelta(hours=retain_hours), live)
 
 
 def log_run(
@@ -178,9 +206,21 @@ def log_run(
     frame = spark.createDataFrame(
         rows, "operation string, layer string, table string, metric string, value bigint"
     )
-    stamped = frame.select(
+    _append_log(path, frame.select(
         F.lit(str(run_ts)).cast("timestamp").alias("run_ts"),
         F.to_date(F.lit(str(run_ts)).cast("timestamp")).alias("run_date"),
         "*",
-    )
-    append(stamped.coalesce(1), path, "run_date")
+    ))
+
+
+def log_samples(path: str, metrics: DataFrame, sampled_at: datetime | str | Column, operation: str = "health") -> None:
+    """Append table metrics (layer, table, metric_name, value) to the run log as one sample each."""
+    at = sampled_at if isinstance(sampled_at, Column) else F.lit(str(sampled_at))
+    _append_log(path, metrics.select(
+        at.cast("timestamp").alias("run_ts"), F.to_date(at.cast("timestamp")).alias("run_date"),
+        F.lit(operation).alias("operation"), "layer", "table", F.col("metric_name").alias("metric"), "value",
+    ))
+
+
+def _append_log(path: str, rows: DataFrame) -> None:
+    append(rows.coalesce(1), path, "run_date")

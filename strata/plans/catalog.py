@@ -24,7 +24,7 @@ from strata.plans import inputs, jobs, oracle
 from strata.plans.inputs import AS_OF, comparable
 from strata.schemas import TRADE_WIRE, conform, table, table_path
 from strata.session import configure, scratch_path
-from strata.sources import feeds, landing, tables
+from strata.sources import feeds, inference, landing, tables
 from strata.streaming import ingest, refine
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -661,6 +661,14 @@ def cluster_roundtrip(spark, sf_dir):
     return tables.read_table(spark, path)
 
 
+@query("cluster_morton_roundtrip", _ROUNDTRIP_SQL)
+def cluster_morton_roundtrip(spark, sf_dir):
+    """A stored table after clustering along a curve of symbol, price and time: the same rows."""
+    path = _stored_trades(spark, sf_dir, "morton")
+    layout.cluster(spark, path, "event_date", ("symbol", "price", "event_ts"), target_bytes=200_000)
+    return tables.read_table(spark, path)
+
+
 @query("retention_keep", oracle.with_(oracle.CLEAN, f"""
 SELECT {oracle.TRADE_COLS} FROM clean WHERE event_date >= DATE '2024-01-17'"""))
 def retention_keep(spark, sf_dir):
@@ -724,6 +732,33 @@ def stream_ingest_evolving(spark, sf_dir):
     )
 
 
+@query("stream_ingest_inferred", oracle.with_(oracle.TRADES, """
+SELECT CASE WHEN symbol <> 'AAPL' THEN event_id END AS trade_id, symbol = 'AAPL' AS is_corrupt,
+  CASE WHEN symbol <> 'AAPL' THEN buyer_is_maker END AS is_self_match,
+  CASE WHEN symbol = 'AAPL' THEN NULL WHEN event_id % 3 = 0 THEN CAST(event_id % 5 AS VARCHAR)
+       WHEN event_id % 3 = 1 THEN (event_id % 5) || '.5' ELSE 'x' || (event_id % 5) END AS lot
+FROM t"""))
+def stream_ingest_inferred(spark, sf_dir):
+    """Lossless ingest of a feed with two undeclared fields, one of which is whole numbers first, then fractions,
+    then text: every start learns the columns from what is stored, and the last finds nothing new to ingest."""
+    base = scratch_path(spark, "stream-inferred")
+    rows = inputs.bronze_trades(spark, sf_dir)
+    number = F.col("trade_id") % 5
+    lots = (number, number + F.lit(0.5), F.concat(F.lit("x"), number.cast("string")))
+    for start in range(4):
+        if start < 3:
+            record = F.struct(
+                "event_type", "symbol", "trade_id", "price", F.col("buyer_is_maker").alias("is_self_match"), lots[start].alias("lot")
+            )
+            cut = F.concat(F.lit("{\"event_type\": "), F.col("trade_id").cast("string"))
+            line = F.when(F.col("symbol") == "AAPL", cut).otherwise(F.to_json(record))
+            rows.filter(F.col("trade_id") % 3 == start).select(line.alias("value")).write.text(f"{base}/landing/binance/{start}")
+        _finish(ingest.ingest(spark, "binance", f"{base}/landing", f"{base}/tables", f"{base}/checkpoints",
+                              available_now=True, inferred=True))
+    bronze = inference.read_inferred(spark, f"{base}/tables", feeds.FEEDS["binance"])
+    return bronze.select("trade_id", F.col("_corrupt").alias("is_corrupt"), "is_self_match", "lot")
+
+
 def _stream_refined(spark, sf_dir, name: str, copies: int = 1) -> DataFrame:
     base = scratch_path(spark, "stream-refine")
     bronze = reduce(DataFrame.unionByName, [inputs.bronze_trades(spark, sf_dir)] * copies)
@@ -895,6 +930,26 @@ def retention_left(spark, sf_dir):
     return tables.read_table(spark, path).select("trade_id", "event_date")
 
 
+@query("job_vacuum", oracle.with_(oracle.CLEAN, """
+SELECT trade_id, 3 AS orphans_removed FROM clean"""))
+def job_vacuum(spark, sf_dir):
+    """Vacuum of a table with leftovers of writers that died: two old staging folders inside, one old and one fresh beside
+    it. The old ones go, and every trade stays."""
+    root = scratch_path(spark, "vacuum")
+    spec = table("silver", "trades")
+    path = table_path(root, spec.layer, spec.name)
+    rows = conform(inputs.clean_trades(spark, sf_dir), spec)
+    tables.append(tables.binned(rows, spec.partition_by), path, spec.partition_by)
+    left = [f"{path}/.spark-staging-0", f"{path}/_temporary", f"{tables.staged_beside(path)}/old"]
+    for folder in [*left, f"{tables.staged_beside(path)}/fresh"]:
+        tables.append(rows.limit(10), folder)
+    for folder in left:
+        tables.set_modified(spark, folder, datetime(2024, 1, 1))
+    removed = jobs.vacuum(spark, root)
+    kept = tables.read_table(spark, path, schema=spec.schema)
+    return kept.select("trade_id", F.lit(removed).cast("int").alias("orphans_removed"))
+
+
 # --------------------------------------------------------------------------- health
 
 
@@ -944,6 +999,46 @@ _DRIVER_TABLES = (
 )
 
 
+_SAMPLES_SQL = """
+hours AS (SELECT DISTINCT date_trunc('hour', ingest_ts) AS hr FROM judged),
+samples AS (
+  SELECT s.symbol, h.hr, (SELECT count(*) FROM judged j WHERE j.bad AND j.symbol = s.symbol AND date_trunc('hour', j.ingest_ts) = h.hr) AS n
+  FROM hours h, (VALUES ('BTCUSDT'), ('ETHUSDT'), ('SOLUSDT'), ('AAPL'), ('DEMOUSDT')) s(symbol)),
+lagged AS (
+  SELECT *, lag(n) OVER w AS n_before, lag(hr) OVER w AS hr_before, max(hr) OVER (PARTITION BY symbol) AS newest
+  FROM samples WINDOW w AS (PARTITION BY symbol ORDER BY hr)),
+islands AS (
+  SELECT *, sum(CASE WHEN coalesce(n_before = 0 OR hr_before < hr - INTERVAL 150 MINUTE, true) THEN 1 ELSE 0 END)
+    OVER (PARTITION BY symbol ORDER BY hr) AS island FROM lagged WHERE n > 0),
+starts AS (SELECT *, min(hr) OVER (PARTITION BY symbol, island) AS active_since FROM islands),
+stretches AS (
+  SELECT symbol, active_since, max(hr) AS last_seen, min(CASE WHEN hr >= active_since + INTERVAL 120 MINUTE THEN hr END) AS fired_at,
+    max(n) AS highest, max(newest) AS newest FROM starts GROUP BY 1, 2)"""
+
+
+@query("alert_sustained", oracle.with_(f"{oracle.TRADES},{oracle.FLAGS},{_SAMPLES_SQL}", """
+SELECT 'silver' AS layer, symbol AS "table", 'hourly_quarantined' AS metric, active_since, last_seen, fired_at, highest,
+  CASE WHEN last_seen = newest AND fired_at IS NOT NULL THEN 'firing' WHEN last_seen = newest THEN 'pending'
+       WHEN fired_at IS NOT NULL THEN 'resolved' ELSE 'inactive' END AS state
+FROM stretches"""))
+def alert_sustained(spark, sf_dir):
+    """Alerts on hourly counts of quarantined trades that lasted two hours, from samples in the run log: each
+    symbol's count flaps, and hours without any trade are gaps in the samples."""
+    hours = inputs.trades(spark, sf_dir).select(F.date_trunc("hour", "ingest_ts").alias("at")).distinct()
+    symbols = F.array(*map(F.lit, ("BTCUSDT", "ETHUSDT", "SOLUSDT", "AAPL", "DEMOUSDT")))
+    failed = inputs.quarantined_trades(spark, sf_dir).select("symbol", F.date_trunc("hour", "ingest_ts").alias("at"))
+    every = hours.select("at", F.explode(symbols).alias("symbol"))
+    counts = failed.groupBy("symbol", "at").agg(F.count(F.lit(1)).alias("n"))
+    samples = every.join(counts, ["symbol", "at"], "left").select(
+        F.lit("silver").alias("layer"), F.col("symbol").alias("table"), F.lit("hourly_quarantined").alias("metric_name"),
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("value"), "at",
+    )
+    path = scratch_path(spark, "samples")
+    layout.log_samples(path, samples, F.col("at"))
+    log = tables.read_table(spark, path, schema=table("gold", "maintenance_metrics").schema)
+    return health.lasting_alerts(log, for_minutes=120, stale_minutes=150)
+
+
 @query("table_counts", "\nUNION ALL ".join(
     f"SELECT '{name}' AS \"table\", count(*) AS n_rows FROM {name}" for name in _DRIVER_TABLES))
 def table_counts(spark, sf_dir):

@@ -14,7 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import layout
+from strata.operators import health, layout
 from strata.operators.bars import GOLD_TIMEFRAMES, bars_together_unchecked, bars_unchecked, one_minute_bars
 from strata.operators.profiles import (
     daily_volume,
@@ -25,7 +25,7 @@ from strata.operators.quality import QualityGate
 from strata.operators.quarantine import METADATA, Replay, with_metadata
 from strata.operators.rules import SHORT_TIMEFRAMES, bar_gate, gold_bar_gate, short_timeframe, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
-from strata.schemas import TableSpec, conform, table, table_path
+from strata.schemas import BATCHES, TableSpec, conform, table, table_path
 from strata.session import frees_scratch
 from strata.sources import consumed
 from strata.sources.feeds import feed_of
@@ -386,3 +386,28 @@ def enforce_retention(
     )
     _log(spark, root, run_ts, "expire", spec, partitions_dropped=dropped)
     return dropped
+
+
+def vacuum(
+    spark: SparkSession, root: str, layer: str = "silver", name: str = "trades", retain_hours: int = 168,
+    run_ts: Moment = None,
+) -> int:
+    """Delete what dead writers have left in and beside a table, and old staged copies; data files stay.
+
+    Staged rows of a stream's batch that has begun and is not done are kept: the next writer puts them in."""
+    path = _path(root, table(layer, name))
+    noted = read_if_exists(spark, f"{path}__batches", schema=BATCHES)
+    live: set[str] = set()
+    if noted is not None:
+        open_batches = noted.groupBy("staged").agg(F.bool_or(F.col("state") == "done").alias("done")).filter("NOT done")
+        live = {row.staged.rsplit("/", 1)[-1] for row in open_batches.collect()}  # one for each start that died
+    removed = layout.vacuum(spark, path, retain_hours, live)
+    scratch = layout.purge_scratch(spark, retain_hours)
+    _log(spark, root, run_ts, "vacuum", table(layer, name), orphans_removed=removed, scratch_removed=scratch)
+    return removed
+
+
+def sample_health(spark: SparkSession, root: str, sampled_at: Moment = None) -> None:
+    """Note the row counts of all published tables in the run log, for `health.lasting_alerts`."""
+    log = table("gold", "maintenance_metrics")
+    layout.log_samples(_path(root, log), health.stored_table_metrics(spark, root), sampled_at or _now(spark))

@@ -146,6 +146,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def set_modified(spark: SparkSession, path: str, at: datetime) -> None:
+    """Give a folder another modification time."""
+    fs, target = _file_system(spark, path)
+    fs.setTimes(target, int(at.timestamp() * 1000), -1)
+
+
 def staged_beside(path: str) -> str:
     """Where writers stage files that are to be moved into a table: the same store, but not the table."""
     return f"{path.rstrip('/')}__staged"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.schemas import table_path
+from strata.sources import inference
 from strata.sources.feeds import FEEDS, Feed, annotate, promoted, stream_evolving, stream_jsonl
 from strata.streaming.ledger import LedgerAppender
 from strata.streaming.sinks import TRIGGER_SECONDS, start
@@ -47,18 +48,22 @@ def ingest(
     max_files_per_trigger: int | None = None,
     evolving: bool = False,
     promoted_fields: dict[str, str] | None = None,
+    inferred: bool = False,
 ) -> StreamingQuery:
     """Start the ingest of one feed; every feed has its own table and checkpoint.
 
     `evolving` loses nothing: Bronze then holds the line itself as `_raw_json`, fields outside the declared
     schema as JSON text in `_rescued`, and malformed lines with `_corrupt` set. At a later start
-    `promoted_fields` (name to type) makes columns of such fields.
+    `promoted_fields` (name to type) makes columns of such fields. With `inferred` the fields and types are learnt
+    from what is stored, at every start; `inference.read_inferred` reads such a table.
     """
     spec = FEEDS[feed] if isinstance(feed, str) else feed
     folder = f"{landing_root}/{spec.landing_subdir}"
-    if evolving:
-        wire = promoted(spec.wire, promoted_fields or {})
-        lines = stream_evolving(spark, folder, wire, max_files_per_trigger)
+    if evolving or inferred:
+        learnt = inference.learn_fields(spark, table_root, spec) if inferred else {}
+        types = {**{name: kinds[-1] for name, kinds in learnt.items()}, **(promoted_fields or {})}
+        lines = stream_evolving(spark, folder, promoted(spec.wire, types), max_files_per_trigger)
+        lines = inference.into_columns(lines, learnt)
         records = lines.withColumn("_rescued", F.to_json("_rescued"))  # maps cannot be compared on a restart
     else:
         records = stream_jsonl(spark, folder, spec.wire, max_files_per_trigger)

@@ -20,11 +20,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from strata.schemas import BATCHES
 from strata.sources.tables import append, delete_path, move_in, read_if_exists, staged_beside
 
-BATCHES = (
-    "stream STRING, batch BIGINT, state STRING, staged STRING, n_rows BIGINT, content DECIMAL(38,0), noted_ts TIMESTAMP"
-)
 BEGUN, DONE = "begun", "done"
 
 # Batches of several streams of one driver may meet at a table.

@@ -11,7 +11,7 @@ from strata.operators.bars import one_minute_bars
 from strata.operators.typed import silver_trades
 from strata.plans.jobs import bronze_to_silver
 from strata.schemas import BAR_WIRE, TRADE_WIRE, table_path
-from strata.sources import feeds, tables
+from strata.sources import feeds, inference, tables
 from strata.streaming import ingest, refine
 from strata.streaming import ledger as batches
 
@@ -232,6 +232,30 @@ def test_merged_bars_survive_late_files_and_repeated_batches(spark, lake):
     assert again == {12: 3, 15: 1}
 
 
+def test_types_of_new_fields_are_learnt_and_widened(spark, lake):
+    feed, parts = feeds.FEEDS["binance"], [
+        [{**trade(1), "lot": 7, "deep": {"a": [1]}, "Symbol": "x", "odd name": 1, "none": None}, "{broken", "42"],
+        [{**trade(2), "lot": 8, "none": True}],
+        [{**trade(3), "lot": 2.5, "none": False}],
+        [{**trade(4), "lot": "many", "none": None}],
+        [{**trade(5), "lot": 9}],
+    ]
+    for n, rows in enumerate(parts):
+        write_lines(minute_folder(lake, "binance", f"0{n}"), f"{n}.jsonl", rows)
+        run(start_ingest(spark, lake, inferred=True))
+    run(start_ingest(spark, lake, inferred=True))
+    assert inference.known_types(spark, lake["tables"], feed) == {
+        "deep": ["STRING"], "lot": ["BIGINT", "DOUBLE", "STRING"], "none": ["BOOLEAN"]}
+    rows = {r.trade_id: r for r in inference.read_inferred(spark, lake["tables"], feed).collect()}
+    assert {n: rows[n].lot for n in range(1, 6)} == {1: "7", 2: "8", 3: "2.5", 4: "many", 5: "9"}
+    assert (rows[1].deep, rows[2].none, rows[3].none, rows[4].none) == ('{"a":[1]}', True, False, None)
+    assert json.loads(rows[1]._rescued)["odd name"] == "1" and rows[1].symbol == "BTCUSDT"
+    stored = bronze_rows(spark, lake)
+    assert stored.count() == 7 and {"lot", "lot__double", "lot__string"} <= set(stored.columns)
+    assert stored.schema["lot"].dataType.simpleString() == "bigint"  # files keep the type they were written with
+    assert inference.wider("BOOLEAN", "BIGINT") == "STRING" and inference.column_type("DECIMAL(20,0)") == "STRING"
+
+
 def test_a_batch_without_times_is_not_lost(spark, lake):
     write_lines(minute_folder(lake, "binance", "00"), "s.jsonl", [trade(1)])
     run(start_ingest(spark, lake))

@@ -1,12 +1,15 @@
-from datetime import date
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import multiset
 from pyspark.sql import functions as F
 
 from strata.operators import health, layout
-from strata.schemas import TABLES, conform, table, table_path
+from strata.operators.curve import with_morton_key
+from strata.plans import jobs
+from strata.schemas import BATCHES, TABLES, conform, table, table_path
 from strata.session import scratch_path, scratch_root, session_conf
 from strata.sources import tables
 from strata.sources.generate import benchmark_trades
@@ -204,6 +207,97 @@ def test_clustering_narrows_symbol_ranges(spark, fragmented):
     assert spread < 4  # every file held all 8 symbols before
 
 
+def skipped(path, column, low, high) -> float:
+    """The share of files whose footers rule a range of a column out."""
+    out, total = 0, 0
+    for file in Path(path).rglob("*.parquet"):
+        footer = pq.ParquetFile(file).metadata
+        place = footer.schema.to_arrow_schema().get_field_index(column)
+        groups = [footer.row_group(g).column(place).statistics for g in range(footer.num_row_groups)]
+        out += all(s.max < low or s.min > high for s in groups)
+        total += 1
+    return out / total
+
+
+def test_a_curve_serves_the_second_column_too(spark, tmp_path):
+    rows = spark.range(60_000).selectExpr(
+        "concat('sym-', lpad(cast(pmod(xxhash64(id, 1), 500) AS string), 4, '0')) AS symbol",
+        "cast(pmod(xxhash64(id, 2), 100000) AS double) AS price", "cast(pmod(xxhash64(id, 3), 90) AS int) AS kind",
+        "DATE'2026-01-01' AS day", "sha2(cast(id AS string), 256) AS v",
+    ).withColumn("price", F.when(F.col("kind") != 7, F.col("price")))
+    share = {}
+    for curve in (True, False):
+        path = str(tmp_path / str(curve))
+        tables.append(rows, path, "day")
+        layout.cluster(spark, path, "day", ("symbol", "price"), target_bytes=80_000, curve=curve)
+        assert multiset(tables.read_table(spark, path).select("symbol", "price", "v")) == multiset(rows.select("symbol", "price", "v"))
+        share[curve] = skipped(path, "price", 40_000.0, 42_000.0), skipped(path, "symbol", "sym-0200", "sym-0203")
+    assert share[True][0] > 0.6 and share[True][1] > 0.6, share
+    assert share[False][0] < 0.2, share
+
+
+def test_morton_keys_interleave_ranges(spark):
+    rows = spark.createDataFrame([(i, f"common-{i:03d}", date(2026, 1, 1 + i % 28), i % 2 == 0) for i in range(256)],
+                                 "n int, s string, d date, b boolean")
+    got = with_morton_key(rows, ("n", "s"), bits=4).orderBy("n").collect()
+    assert [r._curve for r in got[::16]] == [sum(((k >> b) & 1) * 3 << (2 * b) for b in range(4)) for k in range(16)]
+    assert with_morton_key(rows, ("d", "b", "n")).filter("_curve IS NULL OR _curve < 0").isEmpty()
+    empty = with_morton_key(rows.limit(0), ("n", "s"))
+    assert empty.count() == 0 and empty.columns == [*rows.columns, "_curve"]
+    nulls = rows.select(F.lit(None).cast("string").alias("s"), F.lit(None).cast("int").alias("n"))
+    assert with_morton_key(nulls, ("s", "n")).filter("_curve <> 0").isEmpty()
+    with pytest.raises(ValueError):
+        with_morton_key(rows, ("n",) * 11)
+
+
+def test_vacuum_removes_old_orphans_only(spark, root):
+    path = f"{root}/silver/trades"
+    tables.append(spark.range(5).withColumn("event_date", F.lit(date(2026, 1, 1))), path, "event_date")
+    open_batch = f"{tables.staged_beside(path)}/open"
+    for folder in (f"{path}/.spark-staging-1", f"{tables.staged_beside(path)}/dead", open_batch):
+        tables.append(spark.range(2), folder)
+        tables.set_modified(spark, folder, datetime(2026, 1, 1))
+    note = [("s", 1, "begun", open_batch, 2, None, None), ("s", 0, "begun", "x/dead", 2, None, None), ("s", 0, "done", "x/dead", 2, None, None)]
+    tables.append(spark.createDataFrame(note, BATCHES), f"{path}__batches")
+    before = sorted(map(str, Path(path).rglob("part-*")))
+    assert jobs.vacuum(spark, root, retain_hours=10**6) == 0
+    assert jobs.vacuum(spark, root, run_ts="2026-05-01 00:00:00") == 2
+    assert Path(open_batch).exists() and not Path(f"{tables.staged_beside(path)}/dead").exists()
+    assert sorted(map(str, Path(path).glob("event_date=*/part-*"))) == [f for f in before if "staging" not in f]
+    assert jobs.vacuum(spark, root) == 0 and jobs.vacuum(spark, root, "silver", "bars") == 0
+
+
+def test_alerts_that_last(spark):
+    at = lambda minute: datetime(2026, 5, 1, 12) + timedelta(minutes=minute)
+    made = {
+        "steady": [(m, 1) for m in range(0, 13)],
+        "flapping": [(m, int(m % 6 != 5)) for m in range(0, 30)],
+        "gap": [(m, 2) for m in (*range(0, 8), *range(20, 28))],
+        "healed": [*((m, 3) for m in range(0, 11)), (11, 0)],
+        "quiet": [(0, 0)],
+    }
+    rows = [(at(m), "silver", name, "n", v) for name, points in made.items() for m, v in points]
+    rows += [(at(3), "silver", "steady", "n", 0), (at(4), "silver", "steady", "n", None), (None, "silver", "steady", "n", 0)]
+    samples = spark.createDataFrame(rows, "run_ts timestamp, layer string, table string, metric string, value bigint")
+    got = {(r.table, r.active_since): (r.state, r.fired_at) for r in health.lasting_alerts(samples).collect()}
+    assert got.pop(("steady", at(0))) == ("firing", at(10))
+    assert got.pop(("healed", at(0))) == ("resolved", at(10))
+    assert got.pop(("gap", at(0))) == ("inactive", None) and got.pop(("gap", at(20))) == ("pending", None)
+    assert set(got.values()) == {("inactive", None)} and len(got) == 5
+    later = health.lasting_alerts(samples, as_of="2026-05-01 13:00:00").filter("state IN ('firing', 'pending')")
+    assert later.isEmpty()
+    assert health.lasting_alerts(samples.limit(0)).count() == 0
+
+
+def test_health_is_sampled_into_the_run_log(spark, root):
+    tables.append(spark.range(3), f"{root}/silver/quarantine_trades")
+    for minute in (0, 4, 8, 12):
+        jobs.sample_health(spark, root, f"2026-05-01 12:{minute:02d}:00")
+    log = tables.read_table(spark, f"{root}/gold/maintenance_metrics")
+    fired = health.lasting_alerts(log).filter("state = 'firing'").collect()
+    assert [(r.table, str(r.fired_at)) for r in fired] == [("quarantine_trades", "2026-05-01 12:12:00")]
+
+
 def test_clustering_cuts_a_hot_symbol(spark, root):
     hot = spark.range(30000).selectExpr("if(id % 10 = 0, 'B', 'A') AS symbol", "sha2(cast(id as string), 256) v",
                                         "DATE'2026-01-01' AS day")
