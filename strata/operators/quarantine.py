@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from strata.operators.quality import FAILURES_COL, QualityGate
@@ -112,12 +112,20 @@ class Replay:
         return self._having(ARCHIVED, EXHAUSTED)
 
     def metrics(self) -> DataFrame:
-        """One row of run counters."""
-        is_ = lambda *names: F.count_if(F.col("_outcome").isin(*names))
-        return self.rows.agg(
-            is_(PROMOTED, RETRY, ARCHIVED).alias("eligible"),
-            is_(PROMOTED).alias("promoted"),
-            is_(RETRY, ARCHIVED).alias("still_failing"),
-            is_(ARCHIVED, EXHAUSTED).alias("archived"),
-            is_(WAITING).alias("waiting"),
-        )
+        """One row of run counters, by a job of its own; `observed` gets them from a pass over the rows."""
+        return self.rows.agg(*_counters())
+
+    def observed(self) -> Observation:
+        """Count the outcomes in the next job that reads all `rows`, such as the one that stores them."""
+        counted = Observation()
+        self.rows = self.rows.observe(counted, *_counters())
+        return counted
+
+
+def _counters() -> list[Column]:
+    of = lambda *names: F.count_if(F.col("_outcome").isin(*names))
+    return [
+        of(PROMOTED, RETRY, ARCHIVED).alias("eligible"), of(PROMOTED).alias("promoted"),
+        of(RETRY, ARCHIVED).alias("still_failing"), of(ARCHIVED, EXHAUSTED).alias("archived"),
+        of(WAITING).alias("waiting"),
+    ]

@@ -419,7 +419,11 @@ SELECT count(*) FILTER (outcome IN ('promoted', 'retry', 'archived')) AS eligibl
   count(*) FILTER (outcome IN ('archived', 'exhausted')) AS archived,
   count(*) FILTER (outcome = 'waiting') AS waiting FROM outcomes"""))
 def replay_metrics(spark, sf_dir):
-    return _windowed(spark, sf_dir).metrics()
+    """The counters of a replay, observed by the job that stores its outcomes."""
+    run = _windowed(spark, sf_dir)
+    counted = run.observed()
+    tables.stage(spark, run.rows, "replay-outcomes")
+    return spark.createDataFrame([counted.get], ", ".join(f"{name} bigint" for name in counted.get))
 
 
 # --------------------------------------------------------------------------- bars and profiles
@@ -514,12 +518,15 @@ def market_quality_of_trades(spark, sf_dir):
 
 
 # AAPL and the others have no unknown-symbol rows, so zero quantities alone give their ratio.
-@query("market_quality_full", oracle.with_(oracle.CLEAN, f"""
+_QUALITY_FULL_SQL = oracle.with_(oracle.CLEAN, f"""
 SELECT c.*, CAST(coalesce(b.n, 0) AS DOUBLE) / (c.trade_count + coalesce(b.n, 0)) AS quarantine_pct
 FROM (SELECT date_trunc('hour', event_ts) AS metric_hour, symbol, 'crypto' AS asset_class, {_QUALITY_COLS}
       FROM clean GROUP BY 1, 2) c
 LEFT JOIN (SELECT date_trunc('hour', event_ts) AS metric_hour, symbol, count(*) AS n
-           FROM judged WHERE bad GROUP BY 1, 2) b USING (metric_hour, symbol)"""))
+           FROM judged WHERE bad GROUP BY 1, 2) b USING (metric_hour, symbol)""")
+
+
+@query("market_quality_full", _QUALITY_FULL_SQL)
 def market_quality_full(spark, sf_dir):
     return _rounded_volatility(market_quality_with_quarantine(
         inputs.clean_trades(spark, sf_dir), inputs.quarantined_trades(spark, sf_dir)
@@ -831,6 +838,24 @@ def stream_bars_two_starts(spark, sf_dir):
     return refine.merged_bars(spark, f"{base}/out")
 
 
+@query("stream_market_quality", _QUALITY_FULL_SQL)
+def stream_market_quality(spark, sf_dir):
+    """Hourly market quality from mergeable state: clean trades in three batches without order and quarantined ones in
+    two, all into one table."""
+    base = scratch_path(spark, "stream-quality")
+    columns = ("event_ts", "symbol", "asset_class", "price", "late_arrival_sec", "trade_id")
+    for name, rows, files in (
+        ("clean", inputs.clean_trades(spark, sf_dir), 3), ("bad", inputs.quarantined_trades(spark, sf_dir), 2),
+    ):
+        rows = rows.select(*columns)
+        rows.repartition(files, "trade_id").write.parquet(f"{base}/{name}")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/{name}")
+        _finish(refine.merge_quality(
+            stream, f"{base}/out", f"{base}/checkpoints-{name}", clean=name == "clean", available_now=True
+        ))
+    return _rounded_volatility(refine.merged_quality(spark, f"{base}/out"))
+
+
 @query("stream_refine_unique", oracle.with_(oracle.CLEAN, f"SELECT {oracle.TRADE_COLS} FROM clean"))
 def stream_refine_unique(spark, sf_dir):
     """The Silver half of a feed that delivers everything twice."""
@@ -921,6 +946,27 @@ def job_gold_rerun(spark, sf_dir):
     ))
 
 
+@query("job_gold_incremental", oracle.with_(
+    oracle.MINUTE, "\nUNION ALL BY NAME\n".join(oracle.wide_select(tf) for tf in ("5m", "1h", "1d"))))
+def job_gold_incremental(spark, sf_dir):
+    """Gold bars of three widths, brought up to date after each of two deliveries; the second holds new days and late
+    trades of old ones. Only changed days are built again, and the bars are those of a full rebuild."""
+    root = scratch_path(spark, "incremental")
+    bronze = table("bronze", "binance_trades")
+    rows = inputs.bronze_trades(spark, sf_dir)
+    first = (F.col("trade_time") < "2024-01-20") & ((F.dayofmonth("trade_time") != 5) | (F.col("trade_id") % 2 == 0))
+    for part in (rows.filter(first), rows.filter(~first)):
+        tables.append(
+            tables.binned(conform(part, bronze), bronze.partition_by), table_path(root, "bronze", bronze.name), bronze.partition_by
+        )
+        jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF, resume=True)
+        jobs.refresh_gold(spark, root, AS_OF, ("5m", "1h", "1d"))
+    gold = [table("gold", f"bars_{width}") for width in ("5m", "1h", "1d")]
+    return reduce(DataFrame.unionByName, (
+        tables.read_table(spark, table_path(root, "gold", spec.name), schema=spec.schema) for spec in gold
+    ))
+
+
 @query("retention_left", oracle.with_(oracle.CLEAN, """
 SELECT trade_id, event_date FROM clean WHERE event_date >= DATE '2024-01-17'"""))
 def retention_left(spark, sf_dir):

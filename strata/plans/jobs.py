@@ -35,6 +35,7 @@ from strata.sources.tables import (
     binned,
     content,
     insert_new,
+    partition_filter,
     partition_values,
     read_if_exists,
     read_table,
@@ -275,6 +276,47 @@ def trades_to_market_quality(
     _replace_gold(spark, quality, root, "market_quality")
 
 
+def refresh_gold(
+    spark: SparkSession, root: str, as_of: Moment = None, widths: Iterable[str] = GOLD_TIMEFRAMES
+) -> dict[str, int]:
+    """Rebuild what changed Silver days stand for: bars of trades, daily volume, market quality and Gold bars.
+
+    The change set is the partition folders of the Silver files that a job has not worked off yet, whoever wrote them; no row is
+    read to find it. A job notes its files once its days are written, so a run that died is repeated. Returns
+    the number of days each job rebuilt.
+    """
+    clock = str(as_of or _now(spark))
+    trades, bad, bars = table("silver", "trades"), table("silver", "quarantine_trades"), table("silver", "bars")
+
+    def entered_days(files: list[str]) -> list:
+        """Quarantine is stored by the day of entry; its new files alone tell the days of the trades."""
+        return partition_values(spark.read.schema("event_date DATE").parquet(*files), "event_date")
+
+    steps = (
+        ("silver_bars", (trades,), lambda where: trades_to_silver_bars(spark, root, where)),
+        ("daily_volume", (trades,), lambda where: trades_to_daily_volume(spark, root, where)),
+        ("market_quality", (trades, bad), lambda where: trades_to_market_quality(spark, root, where)),
+        ("gold_bars", (bars,), lambda where: silver_to_gold_bars(spark, root, widths, where, as_of)),
+    )
+    rebuilt = {}
+    for name, sources, build in steps:
+        days, noted = set(), []
+        for source in sources:
+            if read_if_exists(spark, _path(root, source), schema=source.schema) is None:
+                continue
+            consumer = f"{name}:{source.layer}.{source.name}"
+            files = consumed.unread(spark, root, source, consumer)[1]
+            days |= set(entered_days(files) if source is bad and files else consumed.partition_days(files))
+            noted.append((consumer, files))
+        if days:
+            build(partition_filter("event_date", list(days)))
+        for consumer, files in noted:
+            consumed.note(spark, root, consumer, files, clock)
+        rebuilt[name] = len(days)
+        _log(spark, root, clock, "refresh", sources[0], **{f"{name}_days": len(days)})
+    return rebuilt
+
+
 @frees_scratch
 def replay_quarantine(
     spark: SparkSession,
@@ -300,8 +342,9 @@ def replay_quarantine(
     path = _path(root, spec)
     quarantine = stage(spark, conform(_read(spark, root, spec), spec), "quarantine")
     run = Replay(quarantine, gate or default, clock, window_hours)
+    counted = run.observed()
     run.rows = stage(spark, run.rows, "replay")  # each row has one outcome, whatever is done with it below
-    counters = run.metrics().first().asDict()
+    counters = counted.get
     if layer == "silver":
         _insert(spark, run.promoted(), root, table(layer, kind), ("ingest_ts",))
     else:

@@ -6,13 +6,14 @@ all arrive once. Files of a table are never changed in place, only added, droppe
 
 from __future__ import annotations
 
+from datetime import date
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.schemas import TableSpec, conform, table, table_path
-from strata.sources.tables import append, read_if_exists, read_table, table_files
+from strata.sources.tables import append, day, read_if_exists, read_table, table_files
 
 LEDGER = table("gold", "consumed_files")
 
@@ -61,6 +62,12 @@ def note(spark: SparkSession, root: str, consumer: str, files: list[str], at: st
         ))
 
 
+def partition_days(files: list[str]) -> list[date | None]:
+    """The days of the partition folders that files lie in."""
+    labels = {file.rsplit("/", 2)[-2].partition("=")[2] for file in files}
+    return [None if label == "__HIVE_DEFAULT_PARTITION__" else day(label) for label in sorted(labels)]
+
+
 def listing(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
     """The names of a table's files, one row each."""
     return table_files(spark, table_path(root, spec.layer, spec.name)).select(_key("path").alias("file"))

@@ -124,12 +124,12 @@ def append_missing(
     """
     existing = read_if_exists(df.sparkSession, path)
     if existing is not None:
-        left = existing.filter(_partition_filter(partition_by, days) & former)
+        left = existing.filter(partition_filter(partition_by, days) & former)
         df = df.exceptAll(conform(left, df.schema))
     append(df, path, partition_by)
 
 
-def _partition_filter(column: str, values: list) -> Column:
+def partition_filter(column: str, values: list) -> Column:
     """Literals, so that the scan prunes directories before it starts."""
     known = [v for v in values if v is not None]
     hit = F.col(column).isin(known) if known else F.lit(False)
@@ -316,7 +316,7 @@ def insert_new(
         append(binned(latest, partition_by), path, partition_by)
         return
     touched = partition_values(latest, partition_by)
-    nearby = existing if everywhere else existing.filter(_partition_filter(partition_by, touched))
+    nearby = existing if everywhere else existing.filter(partition_filter(partition_by, touched))
     fresh = new_rows(nearby, latest.filter(~nameless), key)
     loose = unseen(latest.filter(nameless), [nearby.filter(nameless)], latest.columns)
     append(binned(fresh.unionByName(loose), partition_by), path, partition_by)
@@ -347,7 +347,7 @@ def upsert(
             latest.select(*key).alias("n"), _key_match("e", "n", key), "left_semi"
         )
         touched |= set(partition_values(holding, partition_by))
-    nearby = existing.filter(_partition_filter(partition_by, list(touched)))
+    nearby = existing.filter(partition_filter(partition_by, list(touched)))
     # Without moves every touched partition keeps at least its incoming rows.
     emptied = list(touched) if moves else None
     replace_partitions(spark, merged_rows(nearby, latest, key), path, partition_by, emptied)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.functions.market import bucket_start, trade_order, vwap
+from strata.operators.profiles import QUALITY_STATE, finished_quality, merged_parts, quality_parts
 from strata.operators.quarantine import with_metadata
 from strata.operators.rules import bar_gate, short_timeframe, trade_gate
 from strata.operators.typed import silver_bars, silver_trades
@@ -161,9 +163,40 @@ def _folded(parts: DataFrame, *more: Column) -> DataFrame:
     ).withColumn("event_date", F.to_date("bar_open_ts"))
 
 
-def _stage_merged(batch: DataFrame, path: str, staged: str) -> tuple[int, int | None]:
-    """Stage the bars of the touched days with a batch of trades in them; the number and content of its rows."""
-    spark = batch.sparkSession
+class DayMerger:
+    """A table of mergeable state by day that streams keep up to date, late rows included, each batch once.
+
+    A batch is folded to parts, and the days it touches are stored anew with them. The ledger of the table knows each batch of
+    each stream, so several streams may feed one table, one after the other or together.
+    """
+
+    def __init__(self, path: str, schema: str, day: str, rows: str, fold: Callable[[DataFrame], DataFrame]):
+        self.path, self.schema, self.day, self.rows, self.fold = path, schema, day, rows, fold
+        # The staged rows stand for whole days, so putting them in again changes nothing.
+        self.ledger = BatchLedger(path, lambda spark, staged: replace_partitions(
+            spark, read_table(spark, staged, schema=schema), path, day
+        ))
+
+    def merge(self, batch: DataFrame, batch_id: int, parts: DataFrame) -> None:
+        """Merge `parts` of a batch; they also carry `content`, the summed `row_content` of their rows."""
+        self.ledger.commit(batch, batch_id, lambda staged: self._stage(parts, staged))
+
+    def _stage(self, parts: DataFrame, staged: str) -> tuple[int, int | None]:
+        spark = parts.sparkSession
+        fresh = stage(spark, parts, "merge-batch")
+        rows, content = fresh.agg(F.expr(f"coalesce(sum({self.rows}), 0)"), F.sum("content")).first()
+        if rows:
+            fresh = conform(fresh, self.schema)
+            stored = read_if_exists(spark, self.path, schema=self.schema)
+            if stored is not None:
+                same_day = [F.col(self.day).eqNullSafe(F.lit(day)) for day in partition_values(fresh, self.day)]
+                touched = stored.filter(reduce(lambda a, b: a | b, same_day))
+                fresh = conform(self.fold(touched.unionByName(fresh)), self.schema)
+            append(fresh, staged, self.day)
+        return rows, content
+
+
+def _bar_parts(batch: DataFrame) -> DataFrame:
     order = F.when(F.col("price").isNotNull(), trade_order())
     parts = batch.select(
         bucket_start("event_ts", "1m").alias("bar_open_ts"), "symbol", "asset_class",
@@ -172,36 +205,17 @@ def _stage_merged(batch: DataFrame, path: str, staged: str) -> tuple[int, int |
         F.lit(1).alias("trade_count"), order.alias("first_order"), order.alias("last_order"),
         row_content(batch).alias("content"),
     )
-    fresh = stage(spark, _folded(parts, F.sum("content").alias("content")), "bar-batch")
-    rows, content = fresh.agg(F.coalesce(F.sum("trade_count"), F.lit(0)), F.sum("content")).first()
-    if rows:
-        stored = read_if_exists(spark, path, schema=_BAR_STATE)
-        fresh = conform(fresh, _BAR_STATE)
-        if stored is not None:
-            same_day = [F.col("event_date").eqNullSafe(F.lit(day)) for day in partition_values(fresh, "event_date")]
-            touched = stored.filter(reduce(lambda a, b: a | b, same_day))
-            fresh = conform(_folded(touched.unionByName(fresh)), _BAR_STATE)
-        append(fresh, staged, "event_date")
-    return rows, content
+    return _folded(parts, F.sum("content").alias("content"))
 
 
 def merge_bars(
     trades: DataFrame, path: str, checkpoint: str, trigger_seconds: int = TRIGGER_SECONDS, available_now: bool = False
 ) -> StreamingQuery:
-    """One-minute bars kept up to date as trades arrive, late ones included; read them by `merged_bars`.
-
-    A batch is folded to partial bars, and the bars of the days it touches are stored anew with them. The ledger of the table
-    knows each batch of each stream, so several streams may feed one table, one after the other or together.
-    """
-    # The staged bars stand for whole days, so putting them in again changes nothing.
-    ledger = BatchLedger(path, lambda spark, staged: replace_partitions(
-        spark, read_table(spark, staged, schema=_BAR_STATE), path, "event_date"
-    ))
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        ledger.commit(batch, batch_id, lambda staged: _stage_merged(batch, path, staged))
-
-    return start(trades, write, checkpoint, trigger_seconds, available_now)
+    """One-minute bars kept up to date as trades arrive, late ones included; read them by `merged_bars`."""
+    merger = DayMerger(path, _BAR_STATE, "event_date", "trade_count", _folded)
+    return start(
+        trades, lambda batch, batch_id: merger.merge(batch, batch_id, _bar_parts(batch)), checkpoint, trigger_seconds, available_now
+    )
 
 
 def merged_bars(spark: SparkSession, path: str) -> DataFrame:
@@ -211,3 +225,26 @@ def merged_bars(spark: SparkSession, path: str) -> DataFrame:
         vwap(F.col("notional"), F.col("volume")).alias("vwap"), "event_date",
         F.lit("trade_rollup").alias("source"), F.lit("1m").alias("timeframe"),
     )
+
+
+def merge_quality(
+    trades: DataFrame, path: str, checkpoint: str, clean: bool = True, trigger_seconds: int = TRIGGER_SECONDS,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Hourly market quality kept up to date as clean trades, or with `clean` false as quarantined ones, arrive.
+
+    Both streams may feed one table; late trades change their hour without its other trades being read again. Read
+    the table by `merged_quality`.
+    """
+    merger = DayMerger(path, QUALITY_STATE, "metric_date", "clean + bad", merged_parts)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        content = F.sum(row_content(batch)).alias("content")
+        merger.merge(batch, batch_id, quality_parts(batch, clean, content))
+
+    return start(trades, write, checkpoint, trigger_seconds, available_now)
+
+
+def merged_quality(spark: SparkSession, path: str) -> DataFrame:
+    """The market quality that `merge_quality` has stored, in the shape of the batch metric."""
+    return finished_quality(read_table(spark, path, schema=QUALITY_STATE))

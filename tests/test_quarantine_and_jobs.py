@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from pathlib import Path
 
 from helpers import AS_OF, bronze, multiset, trade
 from pyspark.sql import functions as F
@@ -287,6 +288,48 @@ def test_a_resumed_run_reads_what_is_new(spark, root):
     assert sum(r.value for r in log.collect()) == read(spark, root, "gold/consumed_files").count()
 
 
+def test_gold_is_refreshed_by_changed_days(spark, root):
+    def files(name, day=""):
+        folder = Path(root, "gold", name)
+        return sorted(str(f) for f in folder.rglob("*.parquet") if day in str(f))
+
+    def land(rows, at):
+        put_bronze(spark, root, rows, at)
+        jobs.bronze_to_silver(spark, root, "trades", as_of="2026-06-01 00:00:00", resume=True)
+        return jobs.refresh_gold(spark, root, "2026-06-01 00:00:00")
+
+    days = [trade(n, price=str(100 + n), ts=f"2026-05-0{1 + n % 3}T12:00:{n:02d}Z") for n in range(9)]
+    assert set(land(days, "2026-05-04 00:00:00").values()) == {3}
+    assert set(jobs.refresh_gold(spark, root, "2026-06-01 00:00:00").values()) == {0}
+    before = {name: files(name) for name in ("bars_1d", "daily_volume_profile", "market_quality")}
+    # A late trade of the second day, a new day, and a failed trade of the third.
+    done = land([trade(20, price="7", ts="2026-05-02T23:00:00Z"), trade(21, ts="2026-05-05T01:00:00Z"),
+                 trade(22, quantity="0", ts="2026-05-03T12:30:00Z")], "2026-05-06 00:00:00")
+    assert done == {"silver_bars": 2, "daily_volume": 2, "market_quality": 3, "gold_bars": 2}
+    for name, old in before.items():
+        kept = [f for f in old if "2026-05-01" in f]
+        assert kept and files(name, "2026-05-01") == kept, name  # the first day was not written again
+    again = {name: multiset(read(spark, root, f"gold/{name}")) for name in before}
+    jobs.trades_to_silver_bars(spark, root)
+    jobs.silver_to_gold_bars(spark, root, "1d", as_of=AS_OF)
+    jobs.trades_to_daily_volume(spark, root)
+    jobs.trades_to_market_quality(spark, root)
+    assert {name: multiset(read(spark, root, f"gold/{name}")) for name in before} == again
+    quality = read(spark, root, "gold/market_quality").filter("metric_date = DATE'2026-05-03'").first()
+    assert quality.quarantine_pct > 0
+
+
+def test_replay_counts_while_it_writes(spark, root):
+    put_bronze(spark, root, ROWS)
+    jobs.bronze_to_silver(spark, root, "trades", as_of=AS_OF)
+    run = Replay(read(spark, root, "silver/quarantine_trades"), trade_gate(AS_OF))
+    plain = run.metrics().first().asDict()
+    assert jobs.replay_quarantine(spark, root, as_of=AS_OF) == plain and plain["still_failing"] == 3
+    for _ in range(3):
+        last = jobs.replay_quarantine(spark, root, as_of=AS_OF)
+    assert last == {"eligible": 0, "promoted": 0, "still_failing": 0, "archived": 0, "waiting": 0}  # nothing is left
+
+
 def test_resumed_runs_miss_no_row_whatever_its_time(spark, root):
     bronze_spec, consumer = table("bronze", "binance_trades"), "silver_trades:binance_trades"
 

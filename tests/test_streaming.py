@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from strata.operators.bars import one_minute_bars
+from strata.operators.profiles import finished_quality, market_quality, merged_parts, quality_parts
 from strata.operators.typed import silver_trades
 from strata.plans.jobs import bronze_to_silver
 from strata.schemas import BAR_WIRE, TRADE_WIRE, table_path
@@ -256,6 +257,29 @@ def test_types_of_new_fields_are_learnt_and_widened(spark, lake):
     assert inference.wider("BOOLEAN", "BIGINT") == "STRING" and inference.column_type("DECIMAL(20,0)") == "STRING"
 
 
+def test_merged_variance_keeps_its_digits(spark):
+    """Prices whose spread is tiny beside their size, in parts of many sizes and without any price."""
+    rows = [(f"2026-05-01 12:{n % 60:02d}:00", "A", "crypto", None if n % 50 == 0 else 1e9 + n % 7 * 1e-3, n % 90 or None) for n in range(400)]
+    rows += [("2026-05-01 13:00:00", "A", "crypto", 5.0, None), ("2026-05-01 14:00:00", "B", "crypto", None, None)]
+    trades = spark.createDataFrame(rows, "t string, symbol string, asset_class string, price double, late_arrival_sec int")
+    trades = trades.withColumn("event_ts", F.col("t").cast("timestamp"))
+    state = None
+    for part, share in enumerate((0, 1, 2, 3)):
+        fresh = quality_parts(trades.filter(F.pmod(F.xxhash64(*trades.columns), F.lit(4)) == share))
+        state = tables.stage(spark, fresh if part == 0 else merged_parts(state.unionByName(fresh)), "state")
+    bad = quality_parts(trades.filter("symbol = 'A'").limit(3), clean=False)
+    got = {(r.metric_hour.hour, r.symbol): r for r in finished_quality(merged_parts(state.unionByName(bad))).collect()}
+    for want in market_quality(trades).collect():
+        mine = got.pop((want.metric_hour.hour, want.symbol))
+        assert mine.trade_count == want.trade_count and mine.late_arrival_pct == want.late_arrival_pct
+        assert (mine.price_max, mine.price_min) == (want.price_max, want.price_min)
+        if want.price_volatility is None:
+            assert mine.price_volatility is None
+        else:
+            assert mine.price_volatility == pytest.approx(want.price_volatility, rel=1e-4)  # sums of squares would lose all digits
+    assert not got
+
+
 def test_a_batch_without_times_is_not_lost(spark, lake):
     write_lines(minute_folder(lake, "binance", "00"), "s.jsonl", [trade(1)])
     run(start_ingest(spark, lake))
