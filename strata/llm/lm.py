@@ -35,11 +35,11 @@ from strata.llm.common import map_batches, settle, utf8, worker_cache
 from strata.llm.eliasfano import Trie
 
 COMMON_WORDS = 200_000
-UNIT_TOKENS, UNIT_DOCS = 4_000_000, 60_000
-SHARD_TOKENS = 4_000_000
+UNIT_TOKENS, UNIT_DOCS = 1_000_000, 60_000
+SHARD_TOKENS = 2_000_000
 LEAST_SHARDS = 12
 END, START, EMPTY = np.uint64(1), np.uint64(2), np.uint64(3)  # hashes of words never take these
-KEPT_WORDS = 700_000
+KEPT_WORDS = 300_000
 
 
 class WordHashes(dict):
@@ -184,12 +184,12 @@ def _messages(rows: DataFrame, corpus: Corpus) -> DataFrame:
         order = np.argsort((rank.astype(np.uint64) << np.uint64(32)) | code, kind="stable")
         order = order[np.repeat(lengths, lengths)[order] > 1]
         rank, code, doc = rank[order], code[order], np.repeat(np.arange(len(texts)), lengths)[order]
-        home = (((words >> np.uint64(32)) * np.uint64(corpus.shards)) >> np.uint64(32)).astype(np.uint16)
+        home = (((words >> np.uint64(32)) * np.uint64(corpus.shards)) >> np.uint64(32)).astype(np.uint32)
         shard = home[rank]
         if len(corpus.spread):
             at = np.minimum(np.searchsorted(corpus.spread, words), len(corpus.spread) - 1)
             wide = (corpus.spread[at] == words)[rank]
-            shard = np.where(wide, (code * np.uint32(0x9E3779B1) >> np.uint32(8)) % corpus.shards, shard).astype(np.uint16)
+            shard = np.where(wide, (code * np.uint32(0x9E3779B1) >> np.uint32(8)) % corpus.shards, shard).astype(np.uint32)
         order = np.argsort(shard, kind="stable")
         rank, code, doc, shard = rank[order], code[order], doc[order], shard[order]
         out: list[list] = [[] for _ in names]
