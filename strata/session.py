@@ -71,19 +71,35 @@ def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 _staged: list[list[str]] = []
 
 
+def freeing(spark: SparkSession, job: Callable):
+    """Run a job and delete what it staged when it ends, well or not.
+
+    If it returns a frame, the staged paths that the frame reads stay; a job around this one frees them in turn.
+    """
+    _staged.append([])
+    result = None
+    try:
+        result = job()
+        return result
+    finally:
+        paths = _staged.pop()
+        read = result.inputFiles() if paths and isinstance(result, DataFrame) else []
+        names = {path: f"/{path.rsplit('/', 1)[-1]}/" for path in paths}  # unique, and part of the path of every file below
+        kept = [path for path in paths if any(names[path] in file for file in read)]
+        if _staged:
+            _staged[-1] += kept
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in set(paths) - set(kept):
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+
+
 def frees_scratch(job: Callable) -> Callable:
-    """A job whose staged frames are deleted when it ends, well or not. It must not return a frame."""
+    """A job of a session whose staged frames are freed when it ends, as `freeing` does."""
 
     @wraps(job)
     def run(spark: SparkSession, *args, **named):
-        _staged.append([])
-        try:
-            return job(spark, *args, **named)
-        finally:
-            jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-            for path in _staged.pop():
-                target = jvm.org.apache.hadoop.fs.Path(path)
-                target.getFileSystem(conf).delete(target, True)
+        return freeing(spark, lambda: job(spark, *args, **named))
 
     return run
 

@@ -187,6 +187,25 @@ def test_jobs_free_what_they_stage(spark, tmp_path):
     assert not Path(urlparse(paths[0]).path).exists()
 
 
+def test_what_a_returned_frame_reads_is_freed_by_the_job_around(spark):
+    from strata.session import frees_scratch, freeing, stage
+
+    paths = []
+
+    def kept(frame):
+        paths.append(frame.inputFiles()[0])
+        return frame
+
+    @frees_scratch
+    def outer(spark):
+        inner = freeing(spark, lambda: kept(stage(spark, kept(stage(spark, spark.range(3), "a")), "b")).filter("id > 0"))
+        exists = [Path(p.removeprefix("file://")).exists() for p in paths]
+        return exists, inner.count()
+
+    assert outer(spark) == ([False, True], 2)
+    assert not any(Path(p.removeprefix("file://")).exists() for p in paths)
+
+
 def test_a_large_day_is_cut_to_the_target_size(spark, root):
     wide = spark.range(60000).selectExpr("id", "sha2(cast(id AS string), 256) AS v", "DATE'2026-01-01' AS day")
     tables.append(wide.repartition(40), root, "day")
