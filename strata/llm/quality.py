@@ -163,5 +163,15 @@ def fit_documents(
 def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """All columns of `docs` and `score`, in one pass over the texts."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    found = statistics(docs.toDF(*names), names[docs.columns.index(text_col)], tuple(names))
+    found = _given(docs, names, text_col)
     return found.select(*names, model.score().alias("score")).toDF(*docs.columns, "score")
+
+
+def _given(docs: DataFrame, names: list[str], text_col: str) -> DataFrame:
+    return statistics(docs.toDF(*names), names[docs.columns.index(text_col)], tuple(names))
+
+
+def kept(docs: DataFrame, model: Model, least: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that score `least` or more, with their own columns only, whatever these are called."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return _given(docs, names, text_col).filter(model.score() >= least).select(*names).toDF(*docs.columns)

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import map_batches, settle, utf8
+from strata.session import freeing
 
 LENGTH = 400
 GRAMS = 150
@@ -236,7 +237,8 @@ def repeats(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
         ),
         "suffix-kinds",
     )
-    many = kinds.filter("n > 1").select("name", "around")
+    # Stored, so that a pair of a third of all rows can be split over tasks in the join.
+    many = settle(kinds.filter("n > 1").select("name", "around"), "suffix-many")
     whole = shared.join(many, ["name", "around"]).select(
         "row", (F.col("spot") - F.col("far")).alias("start"), (F.col("spot") - F.col("near") + LENGTH).alias("end")
     )
@@ -339,7 +341,8 @@ def passages(rows: DataFrame, words: int) -> DataFrame:
         map_batches(rows.join(listed, "row").select("row", "text", "spots"), cut, "row bigint, start bigint, end bigint, string bigint"),
         "passage-strings",
     )
-    twice = strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("string")
+    # Stored, so that a passage of a third of all rows can be split over tasks in the join.
+    twice = settle(strings.groupBy("string").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("string"), "passage-twice")
     return settle(strings.join(twice, "string").select("row", "start", "end"), "passage-ranges")
 
 
@@ -367,9 +370,10 @@ def without_repeats(
         F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
         *[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], utf8(text_col).alias("text"),
     )
-    ranges = repeats(base.select("row", "text"), crowd)
+    spark = df.sparkSession
+    ranges = freeing(spark, lambda: repeats(base.select("row", "text"), crowd))
     if words:
-        ranges = ranges.unionByName(passages(base.select("row", "text"), words))
+        ranges = ranges.unionByName(freeing(spark, lambda: passages(base.select("row", "text"), words)))
     per_row = ranges.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
     rows = base.join(per_row, "row", "left").select("id", *kept, "text", "ranges")
 
