@@ -25,7 +25,7 @@ from strata.llm.common import map_batches, utf8, worker_cache
 
 NONE = np.int32(2**31 - 1)  # ranks times positions stay below it
 LONGEST_ROW = 256  # bytes of a piece that is still merged as a row of a matrix
-CACHED = 700_000
+CACHED = 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -194,25 +194,34 @@ def encode_texts(texts: list[str], merges: Merges, pattern, cache: dict[str, byt
 
 
 def encode(
-    df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ()
+    df: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = (), back: bool = False
 ) -> DataFrame:
     """The `keep` columns and `ids`, the token ids of the whole text as packed little-endian 32-bit
-    integers. Each match of `pattern` is merged separately and no special token is recognised."""
+    integers. Each match of `pattern` is merged separately and no special token is recognised. With `back` the ids
+    are decoded to `decoded` in the same pass, which needs one worker a task where `decode` after it needs two."""
     kept = [f"k{i}" for i in range(len(keep))]
+    made = ["ids", "decoded"] if back else ["ids"]
     rows = df.select(*[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], utf8(text_col).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, cache = worker_cache(("bpe", ranks_path, pattern), lambda: (Merges(load_ranks(ranks_path)), {}))
         split = regex.compile(pattern)
+        token = {rank: text for text, rank in merges.ranks.items()} if back else {}
         for batch in batches:
             texts = [t.decode("utf-8", "replace") for t in batch.column("text").to_pylist()]
             ids = encode_texts(texts, merges, split, cache)
-            columns = [batch.column(k) for k in kept]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], names=[*kept, "ids"])
+            columns = [*(batch.column(k) for k in kept), pa.array(ids, pa.binary())]
+            if back:
+                columns.append(pa.array([_bytes_of(i, token) for i in ids], pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *made])
 
     types = [f"{k} {rows.schema[k].dataType.simpleString()}" for k in kept]
-    out = map_batches(rows, work, ", ".join([*types, "ids binary"]))
-    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], "ids")
+    out = map_batches(rows, work, ", ".join([*types, *(f"{c} binary" for c in made)]))
+    return out.select(*[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)], *made)
+
+
+def _bytes_of(ids: bytes, token: dict[int, bytes]) -> bytes:
+    return b"".join(map(token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
@@ -224,10 +233,7 @@ def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = {rank: text for text, rank in load_ranks(ranks_path).items()}
         for batch in batches:
-            decoded = [
-                b"".join(map(token.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
-                for ids in batch.column(source).to_pylist()
-            ]
+            decoded = [_bytes_of(ids or b"", token) for ids in batch.column(source).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(decoded, pa.binary())], names=[*names, "decoded"]
             )

@@ -71,14 +71,20 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def _sample(labelled: DataFrame, per_language: int, id_col: str) -> DataFrame:
-    """About `per_language` rows of every language, picked by hash."""
-    sizes = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    part = F.pmod(F.xxhash64("text", F.lit(7)), F.lit(1_000_000))
+def _sample(labelled: DataFrame, per_language: int) -> DataFrame:
+    """About `per_language` different texts of every language, picked by hash; all of them if there are no more.
+
+    Copies of a text count once, so a language of few texts with many copies keeps its texts, and copies cannot
+    make the sample larger."""
+    hashed = labelled.withColumn("hash", F.xxhash64("text", F.lit(7)))
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("hash", 0.02).alias("texts")).collect()  # a row a language
+    part = F.pmod("hash", F.lit(1_000_000))
     keep = F.lit(False)
-    for language, size in sorted(sizes.items()):
-        keep = keep | ((F.col("lang") == language) & (part < int(min(1, per_language / size) * 1_000_000)))
-    return labelled.filter(keep)
+    for row in sorted(sizes):
+        # The estimate may be a few per cent off, so a language close to the bound is taken whole.
+        share = 1.0 if row["texts"] <= 1.1 * per_language else per_language / row["texts"]
+        keep = keep | ((F.col("lang") == row["lang"]) & (part < int(share * 1_000_000)))
+    return hashed.filter(keep).groupBy("lang", "hash").agg(F.first("text").alias("text")).drop("hash")
 
 
 def _kmeans(points: np.ndarray, groups: int, rounds: int = 12) -> np.ndarray:
@@ -110,7 +116,7 @@ def fit(
                 [batch.column("lang"), pa.array(found, pa.binary())], names=["lang", "counts"]
             )
 
-    sample = _sample(labelled, per_language, "text")
+    sample = _sample(labelled, per_language)
     rows = sorted(map_batches(sample, work, "lang string, counts binary").collect())
     if not rows:
         return Model([], np.zeros((0, BUCKETS), np.float32), np.ones(BUCKETS, np.float32), {})

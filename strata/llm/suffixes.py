@@ -27,7 +27,7 @@ the length are kept whole. Repeated rows are occurrences of one another. Columns
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -358,35 +358,46 @@ def _back(text: bytes, at: int) -> int:
     return at
 
 
+def _merged(ranges: Iterable[tuple[int, int]]) -> list[list[int]]:
+    """Maximal runs of ranges that touch or overlap."""
+    merged: list[list[int]] = []
+    for start, end in sorted(ranges):
+        if merged and start <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], end)
+        else:
+            merged.append([start, end])
+    return merged
+
+
 def without_repeats(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), crowd: int = CROWD,
-    whole_characters: bool = False, words: int | None = None,
+    whole_characters: bool = False, words: int | None = None, list_words: int | None = None,
 ) -> DataFrame:
-    """id and `keep` columns, `kept` (bytes that are left), `spans` (removed [start, end) byte runs) and
-    `n_bytes` of every row. With `whole_characters` the runs shrink to UTF-8 character boundaries.
-    With `words`, repeated passages of so many words are removed as well."""
+    """id and `keep` columns, `kept` (bytes that are left), `spans` (removed [start, end) byte runs), `n_bytes` and
+    `passages` of every row. With `whole_characters` the runs shrink to UTF-8 character boundaries.
+    With `words`, repeated passages of so many words are removed as well. With `list_words`, the byte runs of
+    repeated passages of so many words are listed in `passages`, whether or not they are removed."""
     kept = [f"k{i}" for i in range(len(keep))]
     base = df.select(
         F.xxhash64(id_col, text_col).alias("row"), F.col(id_col).alias("id"),
         *[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], utf8(text_col).alias("text"),
     )
     spark = df.sparkSession
-    ranges = freeing(spark, lambda: repeats(base.select("row", "text"), crowd))
-    if words:
-        ranges = ranges.unionByName(freeing(spark, lambda: passages(base.select("row", "text"), words)))
-    per_row = ranges.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("ranges"))
+    texts = base.select("row", "text")
+    ranges = freeing(spark, lambda: repeats(texts, crowd)).withColumn("listed", F.lit(False))
+    for size, listed in ((words, False), (list_words, True)):
+        if size:
+            found = freeing(spark, lambda size=size: passages(texts, size))
+            ranges = ranges.unionByName(found.withColumn("listed", F.lit(listed)))
+    per_row = ranges.groupBy("row").agg(F.collect_set(F.struct("start", "end", "listed")).alias("ranges"))
     rows = base.join(per_row, "row", "left").select("id", *kept, "text", "ranges")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, runs, sizes = [], [], []
+            left, runs, sizes, listed = [], [], [], []
             for text, ranges_ in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True):
-                merged: list[list[int]] = []
-                for start, end in sorted((r["start"], r["end"]) for r in ranges_ or ()):
-                    if merged and start <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], end)
-                    else:
-                        merged.append([start, end])
+                merged = _merged((r["start"], r["end"]) for r in ranges_ or () if not r["listed"])
+                listed.append([{"start": a, "end": b} for a, b in _merged((r["start"], r["end"]) for r in ranges_ or () if r["listed"])])
                 if whole_characters:
                     merged = [run for run in ([_forward(text, a), _back(text, b)] for a, b in merged) if run[0] < run[1]]
                 edges = [0, *(e for run in merged for e in run), len(text)]
@@ -396,13 +407,14 @@ def without_repeats(
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *(batch.column(k) for k in kept), pa.array(left, pa.binary()),
-                 pa.array(runs, span), pa.array(sizes, pa.int64())],
-                names=["id", *kept, "kept", "spans", "n_bytes"],
+                 pa.array(runs, span), pa.array(sizes, pa.int64()), pa.array(listed, span)],
+                names=["id", *kept, "kept", "spans", "n_bytes", "passages"],
             )
 
     types = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in ["id", *kept]]
-    schema = ", ".join([*types, "kept binary, spans array<struct<start: bigint, end: bigint>>, n_bytes bigint"])
-    return map_batches(rows, work, schema).toDF("id", *keep, "kept", "spans", "n_bytes")
+    runs_type = "array<struct<start: bigint, end: bigint>>"
+    schema = ", ".join([*types, f"kept binary, spans {runs_type}, n_bytes bigint, passages {runs_type}"])
+    return map_batches(rows, work, schema).toDF("id", *keep, "kept", "spans", "n_bytes", "passages")
 
 
 def cleaned(

@@ -38,7 +38,7 @@ fool fools jerk jerks vermin filth freak freaks hate
 SECOND_PERSON = frozenset("""
 you your yours yourself u ur du dich dir dein deine deinen ihr euch tu te ti tú tus vos usted ustedes vous votre vos toi ton ta
 """.split())
-LEET = str.maketrans("01345789@$!|*+", "oieastbgasii t".replace(" ", "a"))
+LEET = str.maketrans("01345789@$!|*+", "oieastbgasiiat")
 WORD = re.compile(r"[^\W\d_]+")
 MASKED = re.compile(r"(?<!\S)[^\W\d_]*[0134578@$!|*+]+[^\W\d_]+[0134578@$!|*+]*[^\W\d_]*")
 

@@ -39,4 +39,6 @@ def test_documents(spark, docs):
     got = sorted((r.doc_id or 0, hashlib.sha256(r.decoded).hexdigest(), len(r.ids)) for r in out.collect())
     want = sorted((i or 0, hashlib.sha256((t or "").encode()).hexdigest(), 4 * len(KNOWN.encode_ordinary(t or ""))) for i, t in rows)
     assert got == want and out.columns == ["doc_id", "id", "ids", "decoded"]
+    once = bpe.encode(docs(rows), RANKS, public_tokenizers.PATTERN, keep=("doc_id", "id"), back=True)
+    assert sorted(map(str, once.collect())) == sorted(map(str, out.collect())) and once.columns == out.columns
     assert bpe.encode(docs([]), RANKS, public_tokenizers.PATTERN).count() == 0

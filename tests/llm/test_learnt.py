@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from strata.llm import langid, quality, toxicity
 
@@ -26,6 +27,43 @@ def test_language(spark, docs):
     assert langid.predict(docs([]), model).count() == 0
 
 
+def test_prediction_is_the_nearest_centroid(spark, docs):
+    """n-grams, TF-IDF and cosine in plain Python."""
+    rnd = random.Random(8)
+    train = [(i, prose(rnd, lang, 20), lang) for i, lang in enumerate(["aa", "bb", "cc"] * 30)]
+    model = langid.fit(spark.createDataFrame(train, "doc_id long, text string, lang string"), per_language=20)
+    asked = [(i, prose(rnd, rnd.choice(["aa", "bb", "cc"]), rnd.randint(1, 30)) + rnd.choice(("", " 42!", " × Ünï"))) for i in range(60)]
+    got = {r.doc_id: r for r in langid.predict(docs(asked), model, keep=("doc_id",)).collect()}
+    for i, text in asked:
+        letters = "".join(c if c in "abcdefghijklmnopqrstuvwxyz" or (ord(c) >= 0xAA and c not in "×÷") else " " for c in text.lower())
+        padded = f" {' '.join(letters.split())} "
+        counts = {}
+        for n in range(1, 5):
+            for at in range(len(padded) - n + 1):
+                gram = ord(padded[at])
+                for c in padded[at + 1:at + n]:
+                    gram = (gram * 0x01000193 & 0xFFFFFFFF) ^ ord(c)
+                bucket = (gram * 0x9E3779B1 & 0xFFFFFFFF) >> 20
+                counts[bucket] = counts.get(bucket, 0) + 1
+        weights = {b: np.log1p(c) * float(model.idf[b]) for b, c in counts.items()}
+        length = sum(w * w for w in weights.values()) ** 0.5
+        scores = [sum(w / length * float(centre[b]) for b, w in weights.items()) for centre in model.centroids]
+        assert got[i].score == pytest.approx(max(scores), abs=1e-5)
+        assert scores[model.languages.index(got[i].lang_pred)] is not None
+        assert max(s for s, name in zip(scores, model.languages) if name == got[i].lang_pred) == pytest.approx(max(scores), abs=1e-6)
+
+
+def test_copies_do_not_crowd_a_sample(spark):
+    rnd = random.Random(9)
+    hot, rare = prose(rnd, "aa", 9), [prose(rnd, "bb", 9) for _ in range(3)]
+    rows = [(hot, "aa")] * 3000 + [(prose(rnd, "aa", 9), "aa") for _ in range(900)] + [(t, "bb") for t in rare for _ in range(700)]
+    frame = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    found = langid._sample(frame, 100).collect()
+    assert len(found) == len({(r.text, r.lang) for r in found})
+    assert {r.text for r in found if r.lang == "bb"} == set(rare)
+    assert 50 <= sum(r.lang == "aa" for r in found) <= 170
+
+
 def test_pieces_of_long_texts_count_like_the_whole(monkeypatch):
     text = "word other " * 70_000
     pieces = langid.counts(text)

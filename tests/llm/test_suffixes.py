@@ -84,3 +84,24 @@ def test_passages_of_words(spark, docs):
     hit = {k for found in places.values() if len(found) > 1 for k, _ in found}
     assert hit == {0, 1, 2, 3, 4, 9} and len(shared.encode()) < 400
     assert all(got[k] == t.replace(shared, "") for k, t in enumerate(texts) if k != 9) and got[9].strip() == ""
+
+
+def test_query_lists_passages_beside_the_contract(spark, tmp_path):
+    import hashlib
+
+    from strata.llm.queries import op9_suffixes
+
+    rnd = random.Random(16)
+    prose = lambda n: " ".join("".join(rnd.choice("abcdefghi") for _ in range(rnd.randint(1, 4))) for _ in range(n))
+    shared, long = prose(51), prose(150)
+    rows = [(k, f"{prose(30)} x{k} {shared} y{k} {prose(20)}") for k in range(40)] + [(50, f"{long} q"), (51, f"r {long}"), (52, None), (53, prose(90))]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert len(shared.encode()) < 400 < len(long.encode())
+    got = {r.doc_id: r for r in op9_suffixes(spark, str(tmp_path)).collect()}
+    for k in range(40):
+        row = got[k]
+        assert (row.n_removed, row.n_passages, row.passage_bytes) == (0, 1, len(shared.encode()))
+        assert row.kept_sha256 == hashlib.sha256(dict(rows)[k].encode()).hexdigest()
+    # The blanks beside the long passage are part of a repeated string, not of a passage.
+    assert all(got[k].n_spans == 1 and got[k].n_removed >= len(long.encode()) == got[k].passage_bytes for k in (50, 51))
+    assert (got[53].n_passages, got[53].passage_bytes, got[52].n_passages) == (0, 0, 0)
