@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from strata.functions.market import seconds_between
 from strata.operators.layout import recent
 from strata.operators.profiles import LATE_AFTER_SECONDS
-from strata.schemas import table_path
+from strata.schemas import table, table_path
 from strata.sources.tables import read_if_exists
 
 # The tables whose row counts are published, with the short name in the metric.
@@ -62,7 +62,7 @@ def stored_table_metrics(spark: SparkSession, root: str, prefix: str = "strata")
     """`table_metrics` of a table root; tables not written yet count 0."""
     tables = {}
     for layer, name, _ in COUNTED:
-        stored = read_if_exists(spark, table_path(root, layer, name))
+        stored = read_if_exists(spark, table_path(root, layer, name), schema=table(layer, name).schema)
         tables[(layer, name)] = spark.range(0) if stored is None else stored
     return table_metrics(tables, prefix)
 

@@ -16,6 +16,7 @@ from strata.operators.profiles import (
     daily_volume,
     market_quality,
     market_quality_with_quarantine,
+    with_metric_date,
 )
 from strata.operators.quality import FAILURES_COL, failures_by_code
 from strata.operators.quarantine import Replay, with_metadata
@@ -130,6 +131,33 @@ def replay_history(spark, sf_dir):
     return rows.select("event_time", "symbol", "trade_id", "price", "buyer_is_maker")
 
 
+_ROTATION_SQL = """
+WITH RECURSIVE moments AS (
+  SELECT epoch_ms(TIMESTAMP '2024-01-01') + (epoch_ms(ts) - epoch_ms(TIMESTAMP '2024-01-01')) // 1000 AS ms FROM events),
+numbered AS (SELECT ms, ms // 60000 AS m, row_number() OVER (PARTITION BY ms // 60000 ORDER BY ms) AS i FROM moments),
+fold AS (
+  SELECT m, ms, i, CAST(0 AS BIGINT) AS file, CAST(1 AS BIGINT) AS held, ms AS opened FROM numbered WHERE i = 1
+  UNION ALL
+  SELECT n.m, n.ms, n.i, CASE WHEN f.held >= 12 OR n.ms - f.opened >= 10000 THEN f.file + 1 ELSE f.file END,
+    CASE WHEN f.held >= 12 OR n.ms - f.opened >= 10000 THEN 1 ELSE f.held + 1 END,
+    CASE WHEN f.held >= 12 OR n.ms - f.opened >= 10000 THEN n.ms ELSE f.opened END
+  FROM fold f JOIN numbered n ON n.m = f.m AND n.i = f.i + 1)
+SELECT epoch_ms(m * 60000) AS landing_minute, file AS landing_file, count(*) AS n_records, epoch_ms(min(ms)) AS first_ts,
+  epoch_ms(max(ms)) AS last_ts FROM fold GROUP BY m, file"""
+
+
+@query("replay_rotation", _ROTATION_SQL)
+def replay_rotation(spark, sf_dir):
+    """The landing files of a history replayed a thousand times faster: closed after twelve records or ten seconds."""
+    ms = F.unix_millis("event_time") - F.unix_millis(F.lit("2024-01-01").cast("timestamp"))
+    fast = F.timestamp_millis(F.unix_millis(F.lit("2024-01-01").cast("timestamp")) + F.floor(ms / 1000))
+    history = inputs.history(spark, sf_dir).withColumn("event_time", fast)
+    files = landing.rotated(history, records_per_file=12)
+    return files.groupBy("landing_minute", "landing_file").agg(
+        F.count(F.lit(1)).alias("n_records"), F.min("event_time").alias("first_ts"), F.max("event_time").alias("last_ts")
+    )
+
+
 @query("replay_schedule", oracle.with_(oracle.TRADES, """
 SELECT event_id AS trade_id,
   CAST(epoch_us(event_ts) - (SELECT min(epoch_us(event_ts)) FROM t) AS DOUBLE) / 60000000.0 AS emit_after_sec
@@ -460,6 +488,15 @@ hourly AS (
     sum(volume) AS volume, sum(trade_count) AS trade_count FROM one GROUP BY 1, 2)"""
 
 
+@query("gold_bars_1m", oracle.with_(oracle.MINUTE, f"""
+SELECT bar_open_ts, symbol, 'crypto' AS asset_class, {oracle.BAR_COLS}, '1m' AS timeframe,
+  CAST(bar_open_ts AS DATE) AS bar_date FROM minute"""))
+def gold_bars_1m(spark, sf_dir):
+    """One-minute Gold bars: the bars of Silver pass through the Gold rules."""
+    passing, _ = gold_bars(inputs.minute_bars(spark, sf_dir), "1m")
+    return conform(passing, table("gold", "bars_1m"))
+
+
 @query("gold_bars_quarantine", oracle.with_(_GOLD_RAW, """
 SELECT bar_open_ts, symbol, high, low, CAST(volume AS DOUBLE) AS volume, CAST(trade_count AS BIGINT) AS trade_count
 FROM hourly WHERE NOT coalesce(high >= low, false) OR NOT coalesce(volume >= 0, false)"""))
@@ -641,6 +678,66 @@ def upsert_update(spark, sf_dir):
     return tables.merged_rows(stored, latest, _ITEM_KEY)
 
 
+def _stored_items(spark, sf_dir) -> tuple[str, DataFrame]:
+    """Finished line items as a table by shipping year, and the feed of open ones."""
+    items = inputs.load(spark, sf_dir, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    path = scratch_path(spark, "items")
+    tables.append(tables.binned(items.filter("l_linestatus = 'F'"), "ship_year"), path, "ship_year")
+    return path, items.filter("l_linestatus = 'O'")
+
+
+@query("insert_stored", ORACLES["upsert_insert"])
+def insert_stored(spark, sf_dir):
+    """Insert-if-absent into a stored table whose key does not fix the partition."""
+    path, feed = _stored_items(spark, sf_dir)
+    tables.insert_new(spark, feed, path, "ship_year", _ITEM_KEY, ("l_shipdate",), everywhere=True)
+    return tables.read_table(spark, path, schema=feed.schema).drop("ship_year")
+
+
+@query("upsert_stored", ORACLES["upsert_update"])
+def upsert_stored(spark, sf_dir):
+    """Update-or-insert into a stored table whose rows may change their partition."""
+    path, feed = _stored_items(spark, sf_dir)
+    tables.upsert(spark, feed, path, "ship_year", _ITEM_KEY, ("l_shipdate",), moves=True, schema=feed.schema)
+    return tables.read_table(spark, path, schema=feed.schema).drop("ship_year")
+
+
+@query("registered_table", oracle.with_(oracle.CLEAN, """
+SELECT symbol, count(*) AS by_name, count(*) AS by_path FROM clean GROUP BY 1"""))
+def registered_table(spark, sf_dir):
+    """A stored table registered under a name and counted in SQL, by that name and by its path."""
+    path = _stored_trades(spark, sf_dir, "registered")
+    name = f"trades_{path.rsplit('-', 1)[-1]}"
+    tables.register(spark, name, path)
+    return spark.sql(f"""
+        SELECT symbol, count(own) AS by_name, count(other) AS by_path FROM (
+          SELECT symbol, 1 AS own, NULL AS other FROM {name} UNION ALL SELECT symbol, NULL, 1 FROM {tables.table_name(path)})
+        GROUP BY symbol""")
+
+
+@query("sample_rows", oracle.with_(oracle.CLEAN, """
+SELECT trade_id, symbol, CAST(price AS DOUBLE) AS price FROM clean ORDER BY event_ts DESC, trade_id LIMIT 7"""))
+def sample_rows(spark, sf_dir):
+    """A look at the newest rows of a stored table; the limit is the feature."""
+    trades, _ = _stored_silver(spark, sf_dir)
+    return tables.sample_rows(trades.orderBy(F.desc("event_ts"), "trade_id"), ("trade_id", "symbol", "price"), 7)
+
+
+@query("run_log", oracle.with_(oracle.CLEAN, """
+SELECT 'expire' AS operation, 'silver' AS layer, 'trades' AS "table", 'partitions_dropped' AS metric,
+  count(DISTINCT event_date) AS value, TIMESTAMP '2025-01-16 12:00:00' AS run_ts
+FROM clean WHERE event_date < DATE '2025-01-16' - 365"""))
+def run_log(spark, sf_dir):
+    """What a retention job notes of its run: the days it has dropped."""
+    root, spec = scratch_path(spark, "run-log"), table("silver", "trades")
+    rows = conform(inputs.clean_trades(spark, sf_dir), spec)
+    tables.append(tables.binned(rows, spec.partition_by), table_path(root, spec.layer, spec.name), spec.partition_by)
+    jobs.enforce_retention(spark, root, "2025-01-16", run_ts="2025-01-16 12:00:00")
+    log = table("gold", "maintenance_metrics")
+    noted = tables.read_table(spark, table_path(root, log.layer, log.name), schema=log.schema)
+    return noted.select("operation", "layer", "table", "metric", "value", "run_ts")
+
+
 def _stored_trades(spark, sf_dir, label: str) -> str:
     """Clean trades written as a day-partitioned table in scratch."""
     path = scratch_path(spark, label)
@@ -946,6 +1043,36 @@ def job_gold_rerun(spark, sf_dir):
     ))
 
 
+@query("job_gold_replay_routes", oracle.with_(f"""{oracle.RAW_BARS},
+valid AS (
+  SELECT symbol, bar_open_ts FROM raw_judged WHERE NOT bad AND timeframe IN ('1m', '1Min') GROUP BY 1, 2)""", """
+SELECT 'bars_1m' AS "table", symbol, bar_open_ts FROM valid
+UNION ALL SELECT DISTINCT 'bars_1d', symbol, CAST(date_trunc('day', bar_open_ts) AS TIMESTAMP) FROM valid"""))
+def job_gold_replay_routes(spark, sf_dir):
+    """Gold bars of two widths that all fail a rule for a while: the replay without it takes each back to the table of
+    its width."""
+    root = scratch_path(spark, "routes")
+    spec = table("silver", "bars")
+    bars = silver_bars(inputs.bronze_bars(spark, sf_dir)).withColumn("timeframe", rules.short_timeframe())
+    one_minute = rules.bar_gate().passing(bars).filter("timeframe = '1m'")
+    tables.insert_new(
+        spark, conform(one_minute, spec), table_path(root, spec.layer, spec.name), spec.partition_by, spec.key, ("ingest_ts",)
+    )
+    quarantine = table("gold", "quarantine_bars")
+    stored = tables.read_table(spark, table_path(root, spec.layer, spec.name), schema=spec.schema)
+    for width in ("1m", "1d"):
+        failed = with_metadata(rules.gold_bar_gate().passing(bars_unchecked(stored, width)).withColumn(
+            FAILURES_COL, F.array(rules.gold_bar_gate().rules[0].failure())
+        ), AS_OF)
+        tables.append(conform(failed, quarantine), table_path(root, "gold", quarantine.name), quarantine.partition_by)
+    jobs.replay_quarantine(spark, root, "gold", "bars", as_of=AS_OF)
+    return reduce(DataFrame.unionByName, (
+        tables.read_table(spark, table_path(root, "gold", f"bars_{width}"), schema=table("gold", f"bars_{width}").schema)
+        .select(F.lit(f"bars_{width}").alias("table"), "symbol", "bar_open_ts")
+        for width in ("1m", "1d")
+    ))
+
+
 @query("job_gold_incremental", oracle.with_(
     oracle.MINUTE, "\nUNION ALL BY NAME\n".join(oracle.wide_select(tf) for tf in ("5m", "1h", "1d"))))
 def job_gold_incremental(spark, sf_dir):
@@ -1010,11 +1137,20 @@ def _counted(spark, sf_dir) -> dict[tuple[str, str], DataFrame]:
         ("silver", "bars"): rules.bar_gate().passing(raw_bars),
         ("silver", "quarantine_bars"): rules.bar_gate().quarantined(raw_bars),
         ("gold", "daily_volume_profile"): daily_volume(clean),
-        ("gold", "market_quality"): market_quality(clean),
+        ("gold", "market_quality"): with_metric_date(market_quality(clean)),
         ("gold", "bars_5m"): gold_bars(inputs.minute_bars(spark, sf_dir), "5m")[0],
     }
 
 
+def _stored_layers(spark, sf_dir) -> str:
+    """A root with the published tables stored, so that their counts come from the files."""
+    root = scratch_path(spark, "layers")
+    for (layer, name), rows in _counted(spark, sf_dir).items():
+        spec = table(layer, name)
+        tables.append(tables.binned(conform(rows, spec), spec.partition_by), table_path(root, layer, name), spec.partition_by)
+    return root
+
+
 _COUNTS_CTES = f"{oracle.MINUTE},{oracle.RAW_BARS}"
 _COUNTS_SQL = """
 SELECT 'strata_bronze_binance_records_total' AS metric_name, 'bronze' AS layer, 'binance_trades' AS "table", count(*) AS value FROM t
@@ -1030,13 +1166,13 @@ UNION ALL SELECT 'strata_gold_bars_5m_records_total', 'gold', 'bars_5m', count(*
 
 @query("table_metrics", oracle.with_(_COUNTS_CTES, _COUNTS_SQL))
 def table_metrics(spark, sf_dir):
-    return health.table_metrics(_counted(spark, sf_dir))
+    return health.stored_table_metrics(spark, _stored_layers(spark, sf_dir))
 
 
 @query("quarantine_alert", oracle.with_(_COUNTS_CTES, f"""
 SELECT *, value > 0 AS firing FROM ({_COUNTS_SQL}) WHERE "table" LIKE 'quarantine%'"""))
 def quarantine_alert(spark, sf_dir):
-    return health.quarantine_alert(health.table_metrics(_counted(spark, sf_dir)))
+    return health.quarantine_alert(health.stored_table_metrics(spark, _stored_layers(spark, sf_dir)))
 
 
 _DRIVER_TABLES = (

@@ -67,8 +67,8 @@ MAINTENANCE_LOG = (
 BATCHES = (
     "stream STRING, batch BIGINT, state STRING, staged STRING, n_rows BIGINT, content DECIMAL(38,0), noted_ts TIMESTAMP"
 )
-CONSUMED_FILES = "consumer STRING, file STRING, noted_ts TIMESTAMP"
-INFERRED_FIELDS = "feed STRING, field STRING, type STRING, step INT, noted_ts TIMESTAMP"
+CONSUMED_FILES = "consumer STRING, file STRING, noted_ts TIMESTAMP, noted_date DATE"
+INFERRED_FIELDS = "feed STRING, field STRING, type STRING, step INT, noted_ts TIMESTAMP, noted_date DATE"
 _QUARANTINE_EXTRAS = (
     f"_quality_failures {FAILURES}, _error_code STRING NOT NULL, _error_msg STRING, "
     "_quarantined_ts TIMESTAMP NOT NULL, quarantined_date DATE NOT NULL, "
@@ -124,8 +124,8 @@ TABLES: dict[tuple[str, str], TableSpec] = {
         TableSpec("gold", "quarantine_bars", f"{GOLD_BARS}, {_QUARANTINE_EXTRAS}",
                   "quarantined_date", key=_BAR_KEY, keep_days=30),
         TableSpec("gold", "maintenance_metrics", MAINTENANCE_LOG, "run_date"),
-        TableSpec("gold", "consumed_files", CONSUMED_FILES, "consumer"),
-        TableSpec("gold", "inferred_fields", INFERRED_FIELDS, "feed"),
+        TableSpec("gold", "consumed_files", CONSUMED_FILES, "noted_date"),
+        TableSpec("gold", "inferred_fields", INFERRED_FIELDS, "noted_date"),
     )
 }
 

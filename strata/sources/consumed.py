@@ -28,7 +28,8 @@ def _ledger(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def _append(spark: SparkSession, root: str, entries: DataFrame) -> None:
-    append(conform(entries, LEDGER).coalesce(1), table_path(root, LEDGER.layer, LEDGER.name), LEDGER.partition_by)
+    dated = entries.withColumn("noted_date", F.to_date("noted_ts"))
+    append(conform(dated, LEDGER).coalesce(1), table_path(root, LEDGER.layer, LEDGER.name), LEDGER.partition_by)
 
 
 def unread(spark: SparkSession, root: str, spec: TableSpec, consumer: str) -> tuple[DataFrame, list[str]]:

@@ -12,31 +12,34 @@ BENCH_SYMBOLS = ("BTCUSDT", "ETHUSDT", "SOLUSDT", "AAPL", "MSFT", "NVDA", "SPY",
 DEMO_SYMBOLS = ("BTCUSDT", "ETHUSDT", "SOLUSDT")
 
 
-def _pick(options, salt: str) -> str:
-    names = ", ".join(f"'{name}'" for name in options)
-    return f"element_at(array({names}), 1 + cast(pmod({salt}, {len(options)}) as int))"
+def _unit(salt: int, column: str = "id") -> str:
+    """A number in [0, 1) that depends on the row alone."""
+    return f"pmod(xxhash64({column}, {salt}), 1048576) / 1048576D"
 
 
 def trade_records(spark: SparkSession, rows: int, until: datetime | str, seed: int = 42) -> DataFrame:
-    """Landing-shaped trades, one per second, the last one at `until`. Same seed, same rows."""
-    unit = f"pmod(xxhash64(id, {seed}), 1000000) / 1000000D"
+    """Landing-shaped trades, the last one at `until`. Same seed, same rows.
+
+    Trades thin out towards the past. Each symbol swings round a level of its own, a tenth of that of the one before;
+    sizes have a heavy tail, and the side follows the swing."""
+    names = ", ".join(f"'{name}'" for name in DEMO_SYMBOLS)
+    swing = f"sin(seconds / 240D + {_unit(seed + 2)})"
     return spark.range(rows).selectExpr(
+        "id",
+        f"cast(pow({rows} - 1 - id, 1.25D) AS bigint) AS seconds",
+        f"cast({len(DEMO_SYMBOLS)} * pow({_unit(seed)}, 2) AS int) AS rank",
+    ).selectExpr(
         "'trade' AS event_type",
-        f"TIMESTAMP'{until}' - make_dt_interval(0, 0, 0, {rows} - 1 - id) AS event_time",
-        f"{_pick(DEMO_SYMBOLS, f'xxhash64(id, {seed} + 1)')} AS symbol",
-        "1000000 + id AS trade_id",
-        f"format_number(50000 + 20000 * {unit}, '0.00') AS price",
-        f"format_number(0.001 + 0.499 * {unit}, '0.000000') AS quantity",
-        f"TIMESTAMP'{until}' - make_dt_interval(0, 0, 0, {rows} - 1 - id) AS trade_time",
-        "pmod(id, 2) = 1 AS buyer_is_maker",
+        f"TIMESTAMP'{until}' - make_dt_interval(0, 0, 0, seconds) AS event_time",
+        f"element_at(array({names}), rank + 1) AS symbol",
+        f"{seed} * 10000000L + id AS trade_id",
+        f"cast(round(pow(10D, 4 - rank) * (1 + 0.03 * {swing}), 4) AS string) AS price",
+        f"cast(round(0.002 / (0.01 + {_unit(seed + 1)}), 5) AS string) AS quantity",
+        f"TIMESTAMP'{until}' - make_dt_interval(0, 0, 0, seconds) AS trade_time",
+        f"{swing} > 0 AS buyer_is_maker",
     )
 
 
-def _unit(salt: int, column: str = "id") -> str:
-    """A number in [0, 1) that depends on the row alone."""
-    return f"pmod(xxhash64({column}, {salt}), 1048576) / 1048576D"
-
-
 def bar_records(
     spark: SparkSession, start: datetime | str, good: int = 5, symbol: str = "AAPL"
 ) -> DataFrame:

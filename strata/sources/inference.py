@@ -119,7 +119,8 @@ def learn_fields(spark: SparkSession, root: str, feed: Feed) -> dict[str, list[s
     at = spark.sql("SELECT cast(current_timestamp() AS string)").first()[0]
     if news:
         noted = spark.createDataFrame(news, "feed string, field string, type string, step int")
-        entries = conform(noted.withColumn("noted_ts", F.lit(at).cast("timestamp")), REGISTRY)
+        stamp = F.lit(at).cast("timestamp")
+        entries = conform(noted.withColumns({"noted_ts": stamp, "noted_date": F.to_date(stamp)}), REGISTRY)
         append(entries.coalesce(1), table_path(root, REGISTRY.layer, REGISTRY.name), REGISTRY.partition_by)
     note(spark, root, consumer, files, at)
     return known

@@ -309,7 +309,7 @@ def insert_new(
     NULL in the key are told apart by their content.
     """
     nameless = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in key))
-    existing = read_if_exists(spark, path, schema=None if everywhere else incoming.schema)
+    existing = read_if_exists(spark, path, schema=incoming.schema)
     named = last_per_key(incoming.filter(~nameless), key, order)
     latest = stage(spark, named.unionByName(incoming.filter(nameless)), "insert")
     if existing is None:
@@ -330,13 +330,15 @@ def upsert(
     key: tuple[str, ...],
     order: tuple[str, ...],
     moves: bool = False,
+    schema: StructType | str | None = None,
 ) -> None:
     """Replace stored rows by incoming rows of the same key, insert the others.
 
-    Only the touched partitions are rewritten. Set `moves` when a row may change its partition: the
+    Only the touched partitions are rewritten. `schema` declares the stored table, so that only folders are listed;
+    without it every footer is opened for columns the incoming rows lack. Set `moves` when a row may change its partition: the
     key columns of the whole table are then searched for the partitions that hold the old rows.
     """
-    existing = read_if_exists(spark, path)
+    existing = read_if_exists(spark, path, schema=schema)
     if existing is None:
         append(binned(last_per_key(incoming, key, order), partition_by), path, partition_by)
         return

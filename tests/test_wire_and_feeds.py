@@ -133,6 +133,38 @@ def test_one_timestamp_for_all_rows_is_still_spread(spark):
     assert ordered.rdd.getNumPartitions() == 1 or max(r["count"] for r in sizes) < 20000
 
 
+def test_files_rotate_by_count_and_age(spark, tmp_path):
+    import random
+
+    rnd = random.Random(9)
+    times = [rnd.choice((0, 0, 5_000, rnd.randint(0, 180_000))) for _ in range(900)] + [59_999, 60_000]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate(times)], "n int, ms bigint").selectExpr(
+        "n", "timestamp_millis(1700000000000 - pmod(1700000000000, 60000) + ms) AS event_time")
+    rows = rows.unionByName(spark.createDataFrame([(-1, None), (-2, None)], "n int, event_time timestamp")).repartition(5)
+    want, held, opened, at, minute = {}, 0, None, -1, None
+    for ms in sorted(times):
+        if ms // 60_000 != minute:
+            minute, at, held, opened = ms // 60_000, 0, 0, ms
+        elif held >= 50 or ms - opened >= 10_000:
+            at, held, opened = at + 1, 0, ms
+        held += 1
+        want[minute, at, ms] = want.get((minute, at, ms), 0) + 1
+    got = {}
+    out = landing.rotated(rows, records_per_file=50)
+    assert out.columns == ["n", "event_time", "landing_minute", "landing_file"]
+    for r in out.filter("event_time IS NOT NULL").collect():
+        base = 1700000000000 - 1700000000000 % 60000
+        ms = round(r.event_time.timestamp() * 1000) - base
+        key = (round(r.landing_minute.timestamp() * 1000) - base) // 60_000, r.landing_file, ms
+        got[key] = got.get(key, 0) + 1
+    assert got == want and out.count() == len(times) + 2
+    landing.write_rotated(rows.drop("ms"), str(tmp_path / "r"), records_per_file=50)
+    files = list((tmp_path / "r").rglob("part-*.json"))
+    assert len(files) == len({k[:2] for k in want}) + 1
+    assert sum(1 for f in files for _ in f.open()) == len(times) + 2
+    assert landing.rotated(rows.limit(0)).count() == 0
+
+
 def test_schedule(spark):
     df = spark.range(3).selectExpr("timestamp_seconds(id * 10) AS event_time")
     assert sorted(r.emit_after_sec for r in landing.replay_schedule(df, speedup=2.0).collect()) == [0, 5, 10]
