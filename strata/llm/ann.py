@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by multi-index hashing over learnt rotated binary codes.
 
-Codes are the signs of a principal-component projection turned by an iterative-quantisation rotation, up
-to 64 bits. A code is cut into substrings, each with an index of its own. By the pigeonhole principle a code
+Codes are the signs of a principal-component projection turned by several iterative-quantisation rotations, each
+learnt from another start and worth up to 64 bits: the more bits, the better Hamming distance tells neighbours
+from others, and the fewer vectors are ranked. A code is cut into substrings, each with an index of its own. By the pigeonhole principle a code
 within Hamming radius r of a query has a substring within r // substrings of the query's, so probing those
 buckets finds every code within the radius; the candidates are then ranked by their vectors in double
 precision. The radius is what `share` of the true neighbours in the sample keep to. Where it holds
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import settle
 
-BITS = 64
-PARTS = 4
-PART_BITS = BITS // PARTS
+TURNS = 4  # rotations
+BITS = 64 * TURNS
+PART_BITS = 16
+PARTS = BITS // PART_BITS
 BLOCK = 16_384
 QUERY_BLOCK = 2_048
 
@@ -37,14 +39,23 @@ QUERY_BLOCK = 2_048
 @dataclass(frozen=True)
 class Coder:
     mean: np.ndarray
-    projection: np.ndarray
+    projections: np.ndarray  # turns x components x bits
     radius: int
 
     def codes(self, vectors: np.ndarray) -> np.ndarray:
-        signs = (vectors - self.mean) @ self.projection > 0
-        filled = np.zeros((len(vectors), BITS), bool)
-        filled[:, : signs.shape[1]] = signs
-        return np.packbits(filled, axis=1, bitorder="little").view("<u8").ravel()
+        """A row of one word for each rotation for every vector."""
+        centred = vectors - self.mean
+        words = []
+        for projection in self.projections:
+            filled = np.zeros((len(vectors), 64), bool)
+            filled[:, : projection.shape[1]] = centred @ projection > 0
+            words.append(np.packbits(filled, axis=1, bitorder="little").view("<u8"))
+        return np.concatenate(words, axis=1) if words else np.zeros((len(vectors), 0), "<u8")
+
+
+def distance(codes: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Differing bits of each code and one code."""
+    return np.bitwise_count(codes ^ code).sum(axis=-1, dtype=np.int64)
 
 
 def _usable(vectors: Column, size: int) -> Column:
@@ -68,28 +79,31 @@ def fit(
     picked = rows.filter(part < int(min(1.0, sample_rows / max(total, 1)) * 1_000_000))
     found = picked.toArrow().sort_by("id")
     if not len(found):
-        return Coder(np.zeros(1), np.zeros((1, 1)), BITS)
+        return Coder(np.zeros(1), np.zeros((TURNS, 1, 1)), BITS)
     sample = np.array(found.column("vector").to_pylist(), np.float64)
     mean = sample.mean(axis=0)
     centred = sample - mean
     _, axes = np.linalg.eigh(np.atleast_2d(centred.T @ centred))
-    basis = axes[:, ::-1][:, :BITS]
+    basis = axes[:, ::-1][:, :64]
     reduced = centred @ basis
     random = np.random.default_rng(29)
-    turn, _ = np.linalg.qr(random.normal(size=(reduced.shape[1],) * 2))
-    for _ in range(rounds):
-        left, _, right = np.linalg.svd(np.sign(reduced @ turn).T @ reduced)
-        turn = (left @ right).T
-    coder = Coder(mean, basis @ turn, BITS)
+    projections = []
+    for _ in range(TURNS):
+        turn, _ = np.linalg.qr(random.normal(size=(reduced.shape[1],) * 2))
+        for _ in range(rounds):
+            left, _, right = np.linalg.svd(np.sign(reduced @ turn).T @ reduced)
+            turn = (left @ right).T
+        projections.append(basis @ turn)
+    coder = Coder(mean, np.array(projections), BITS)
     codes = coder.codes(sample)
     distances = []
     for i in random.permutation(len(sample))[:300]:
         gap = ((sample - sample[i]) ** 2).sum(axis=1)
         gap[i] = np.inf
         near = np.argsort(gap, kind="stable")[: min(k, len(sample) - 1)]
-        distances.append(np.bitwise_count(codes[near] ^ codes[i]))
+        distances.append(distance(codes[near], codes[i]))
     near = np.concatenate(distances)
-    return Coder(mean, coder.projection, int(np.quantile(near, share, method="higher")) if len(near) else BITS)
+    return Coder(mean, coder.projections, int(np.quantile(near, share, method="higher")) if len(near) else BITS)
 
 
 class Index:
@@ -106,17 +120,18 @@ class Index:
             self.tables.append((order, buckets, counts))
 
     @staticmethod
-    def _part(codes, part: int):
-        return (codes >> np.uint64(part * PART_BITS)) & np.uint64((1 << PART_BITS) - 1)
+    def _part(codes: np.ndarray, part: int) -> np.ndarray:
+        word, shift = divmod(part * PART_BITS, 64)
+        return ((codes[..., word] >> np.uint64(shift)) & np.uint64((1 << PART_BITS) - 1)).astype(np.uint16)
 
-    def within(self, code: np.uint64, radius: int) -> np.ndarray:
+    def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """Rows whose code is within the Hamming radius, all of them."""
         probed = np.zeros(len(self.codes), bool)
         for part, (order, buckets, counts) in enumerate(self.tables):
             hit = np.bitwise_count(buckets ^ self._part(code, part)) <= radius // PARTS
             probed[order[np.repeat(hit, counts)]] = True
         rows = np.flatnonzero(probed)
-        return rows[np.bitwise_count(self.codes[rows] ^ code) <= radius]
+        return rows[distance(self.codes[rows], code) <= radius]
 
     def nearest(self, own: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         code = self.coder.codes(query[None, :])[0]

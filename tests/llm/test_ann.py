@@ -37,13 +37,33 @@ def test_recall_and_order(spark):
 
 def test_every_code_within_the_radius_is_found():
     rnd = np.random.default_rng(2)
-    coder = ann.Coder(np.zeros(64), np.eye(64), 20)
-    vectors = rnd.normal(size=(2000, 64))
-    index = ann.Index(coder, np.arange(2000), vectors)
-    for radius in (0, 7, 20, 31, 64):
+    turns = np.array([np.linalg.qr(rnd.normal(size=(40, 40)))[0] for _ in range(ann.TURNS)])
+    vectors = rnd.normal(size=(2000, 40))
+    vectors[7:300] = vectors[5] + 0.4 * rnd.normal(size=(293, 40))
+    index = ann.Index(ann.Coder(np.zeros(40), turns, 20), np.arange(2000), vectors)
+    for radius in (0, 7, 20, 31, 64, 100, 256):
         code = index.codes[5]
-        want = np.flatnonzero(np.bitwise_count(index.codes ^ code) <= radius)
-        assert index.within(code, radius).tolist() == want.tolist()
+        want = [i for i in range(2000) if sum(int(a ^ b).bit_count() for a, b in zip(index.codes[i], code, strict=True)) <= radius]
+        assert index.within(code, radius).tolist() == want
+    assert len(index.within(index.codes[5], 31)) > 5
+
+
+def test_recall_and_ranked_share_on_the_given_vectors(spark):
+    """Neighbours of the given vectors are not much closer than others: at ten neighbours 1.1 against 1.4."""
+    from strata.llm.common import read
+
+    rows = ann.usable(read(spark, "/root/testdata/sf0.1", "embeddings"), "vec_id", "embedding").toArrow()
+    ids, vectors = rows.column("id").to_numpy(), np.array(rows.column("vector").to_pylist(), np.float64)
+    frame_of = spark.createDataFrame(list(zip(ids.tolist(), vectors.tolist(), strict=True)), "id bigint, vector array<double>")
+    index = ann.Index(ann.fit(frame_of, len(ids)), ids, vectors)
+    hits, ranked, asked = 0, 0, np.flatnonzero(ids % 20 == 0)
+    for at in asked:
+        gaps = np.sqrt(((vectors - vectors[at]) ** 2).sum(axis=1))
+        gaps[at] = np.inf
+        hits += len(set(index.nearest(ids[at], vectors[at], 10)[0]) & set(ids[np.lexsort((ids, gaps))[:10]]))
+        ranked += len(index.within(index.codes[at], index.coder.radius))
+    assert hits / (10 * len(asked)) >= 0.9
+    assert ranked / (len(asked) * len(ids)) < 0.12, ranked / (len(asked) * len(ids))
 
 
 def test_ties_odd_vectors_and_few_rows(spark):

@@ -18,7 +18,8 @@ def test_copies_and_new_parameters(spark, docs):
         (4, "A train leaves and nothing else of it is here, only other words about other things"), (5, None), (6, ""),
         (8, ITEM), (8, ITEM),
     ]
-    assert found(spark, docs, rows) == {(1, 7), (3, 7), (8, 7), (2, 7)} or found(spark, docs, rows) == {(1, 7), (3, 7), (8, 7)}
+    # In a text of capitals every word reads as a name, so it has other templates and is not found.
+    assert found(spark, docs, rows) == {(1, 7), (3, 7), (8, 7)}
 
 
 def test_slots_that_do_not_fit(spark, docs):
