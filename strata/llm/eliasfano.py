@@ -65,9 +65,14 @@ class EliasFano:
         if self._starts is None:
             bits = np.unpackbits(self.levels.get(self.high), count=self.count + self.buckets)
             zeros = np.flatnonzero(bits == 0)
-            self._starts = np.concatenate(([0], zeros - np.arange(len(zeros))))
+            self._starts = np.concatenate(([0], zeros - np.arange(len(zeros)))).astype(np.uint32)
         return self._starts
 
+    def at(self, index: np.ndarray) -> np.ndarray:
+        """The values at some places: the bucket that holds each place, and its low bits."""
+        high = (np.searchsorted(self.starts(), index, "right") - 1).astype(np.uint64)
+        return (high << np.uint64(self.low_bits)) | self.low_at(index)
+
     def low_at(self, index: np.ndarray) -> np.ndarray:
         if not self.low_bits:
             return np.zeros(len(index), np.uint64)
@@ -87,7 +92,7 @@ class EliasFano:
         high = (wanted >> np.uint64(self.low_bits)).astype(np.int64)
         inside = (high >= 0) & (high < self.buckets)
         high = np.where(inside, high, 0)
-        first, end = self.starts()[high], self.starts()[high + 1]
+        first, end = self.starts()[high].astype(np.int64), self.starts()[high + 1].astype(np.int64)
         low = wanted & np.uint64((1 << self.low_bits) - 1)
         left, right = first.copy(), end.copy()
         open_ = np.flatnonzero(left < right)
@@ -120,17 +125,23 @@ class Quantised:
 class Trie:
     """Words, and below each word the contexts it was seen in.
 
-    The contexts of a word are numbers relative to it. They are shifted by the number of the word, so that the
-    level as a whole ascends, and are found by one successor search. Values are quantised; the counts of words
-    are kept as they are.
+    Three monotone levels: the words; pointers from each word to its first context; and the contexts. Those are relative to
+    their word: each word's go on from the last of the word before, so that the level as a whole ascends, and one
+    successor search from there finds them. Values are quantised; the counts of words are kept as they are.
     """
 
     def __init__(self, words: np.ndarray, counts: np.ndarray, context_word: np.ndarray, context: np.ndarray, values: np.ndarray):
+        """`context_word` is the place of each context's word and ascends; contexts ascend within a word."""
         self.levels = Levels()
         self.words = EliasFano(self.levels, words)
         self.counts = self.levels.add(counts.astype(np.int64))
-        shifted = (context_word.astype(np.uint64) << np.uint64(32)) | context.astype(np.uint64)
-        self.contexts = EliasFano(self.levels, shifted)
+        sizes = np.bincount(context_word, minlength=len(words))
+        ends = np.cumsum(sizes)
+        self.pointers = EliasFano(self.levels, np.concatenate(([0], ends)).astype(np.uint64))
+        steps = np.zeros(len(words), np.uint64)
+        steps[sizes > 0] = context[ends[sizes > 0] - 1].astype(np.uint64) + np.uint64(1)
+        before = np.cumsum(steps) - steps
+        self.contexts = EliasFano(self.levels, context.astype(np.uint64) + before[context_word])
         self.values = Quantised(self.levels, values)
         self.levels.seal()
 
@@ -145,7 +156,12 @@ class Trie:
         """Value of each (word, context), or `otherwise` where the pair is not in the trie."""
         known = np.flatnonzero(index >= 0)
         out = otherwise.copy()
-        found = self.contexts.find((index[known].astype(np.uint64) << np.uint64(32)) | context[known].astype(np.uint64))
-        hit = found >= 0
+        if not len(known) or not self.contexts.count:
+            return out
+        first = self.pointers.at(index[known]).astype(np.int64)
+        end = self.pointers.at(index[known] + 1).astype(np.int64)
+        base = np.where(first > 0, self.contexts.at(np.maximum(first - 1, 0)) + np.uint64(1), np.uint64(0))
+        found = self.contexts.find(context[known].astype(np.uint64) + base)
+        hit = (found >= first) & (found < end)
         out[known[hit]] = self.values.at(found[hit])
         return out

@@ -92,3 +92,25 @@ def test_the_end_is_spread_over_the_shards(spark, docs):
     sent = lm._messages(rows, corpus).filter("shard >= 0").groupBy("shard").agg(F.sum(F.octet_length("docs") / 2).alias("n"))
     sizes = [r.n for r in sent.collect()]
     assert sum(sizes) == 4500 and max(sizes) < 2 * 4500 / corpus.shards
+
+
+def test_trie_finds_contexts_of_their_own_word_only():
+    rnd = np.random.default_rng(11)
+    for count in (0, 1, 2, 400):
+        words = np.unique(rnd.integers(0, 1 << 63, count).astype(np.uint64))
+        held = {(w, int(c)): float(rnd.normal()) for w in range(len(words)) if w % 7 != 3
+                for c in np.unique(rnd.choice([0, 1, 2, 5, 1 << 20, (1 << 32) - 1, int(rnd.integers(0, 1 << 32))], rnd.integers(1, 9)))}
+        pairs = sorted(held)
+        place, context = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.uint32)
+        trie = Trie(words, np.arange(len(words)), place, context, np.array([held[p] for p in pairs]))
+        asked = pairs + [(int(rnd.integers(-1, len(words) or 1)), int(c)) for c in rnd.choice([0, 1, 3, 1 << 20, (1 << 32) - 1], 300)]
+        asked = [(w, c) for w, c in asked if w < len(words)]
+        got = trie.value(np.array([w for w, _ in asked], np.int64), np.array([c for _, c in asked], np.uint32), np.full(len(asked), 99.0))
+        for pair, value in zip(asked, got, strict=True):
+            assert abs(value - held.get(pair, 99.0)) < 1e-3, pair
+        assert trie.word(words).tolist() == list(range(len(words))) and trie.count(np.arange(len(words))).tolist() == list(range(len(words)))
+    values = np.sort(rnd.integers(0, 1 << 40, 3000).astype(np.uint64))
+    levels = Levels()
+    coded = EliasFano(levels, values)
+    levels.seal()
+    assert coded.at(np.arange(3000)).tolist() == values.tolist()
