@@ -45,7 +45,7 @@ AROUND = GRAMS - 1  # farthest start left of the anchor, and bytes after COMMON
 SPOT_BITS = 28
 PIECE = 1 << 24  # starts handled at once
 CROWD = 100_000
-CHUNKS = 64  # of the anchors that one split holds of a name and neighbourhood
+CHUNKS = 512  # of the anchors that one split holds of a name and neighbourhood
 PIECE_WORDS = 1 << 16  # passages handled at once
 
 
@@ -228,8 +228,8 @@ def _hashed(members: DataFrame) -> DataFrame:
 
 
 def _chunks(rows: DataFrame) -> DataFrame:
-    """The anchors whose name occurs twice or more, stored by name and neighbourhood: `n`, the `first` and all that are
-    `held` in one chunk. A chunk is part of one split of the stored anchors, so a hot pair makes few and short rows."""
+    """The anchors whose name occurs twice or more, stored by name, neighbourhood and `part`: `n`, the `first` and all
+    that are `held` in one chunk. A chunk is part of one split of the stored anchors, so a hot pair makes few and short rows."""
     found = settle(sample(rows), "suffix-anchors")
     named = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name")
     shared = settle(found.join(named, "name"), "suffix-shared")
@@ -238,7 +238,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
     return settle(
         shared.withColumn("part", part).groupBy("name", "around", "part").agg(
             F.count(F.lit(1)).alias("n"), F.min(anchor).alias("first"), F.collect_list(anchor).alias("held")
-        ).drop("part"),
+        ),
         "suffix-chunks",
     )
 
@@ -252,7 +252,8 @@ def repeats(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
     )
     # Stored, so that a pair of a third of all rows can be split over tasks in the join, where it is some chunks.
     many = settle(kinds.filter("n > 1").select("name", "around"), "suffix-many")
-    whole = chunks.join(many, ["name", "around"]).select(F.inline("held")).select(
+    repeated = chunks.join(many, ["name", "around"]).repartition("name", "around", "part")  # hot pairs over many tasks
+    whole = repeated.select(F.inline("held")).select(
         "row", (F.col("spot") - F.col("far")).alias("start"), (F.col("spot") - F.col("near") + LENGTH).alias("end")
     )
     several = kinds.groupBy("name").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
