@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from strata.functions.market import bucket_start
 from strata.operators import health, layout, market_queries, rules, wire
-from strata.operators.bars import bars_unchecked, gold_bars, gold_bars_together
+from strata.operators.bars import bars_unchecked, gold_bars, gold_bars_together, one_minute_bars
 from strata.operators.profiles import (
     daily_volume,
     market_quality,
@@ -1126,28 +1126,27 @@ def job_vacuum(spark, sf_dir):
 # --------------------------------------------------------------------------- health
 
 
-def _counted(spark, sf_dir) -> dict[tuple[str, str], DataFrame]:
-    raw_bars = silver_bars(inputs.bronze_bars(spark, sf_dir))
-    clean, bad = inputs.clean_trades(spark, sf_dir), inputs.quarantined_trades(spark, sf_dir)
-    return {
-        ("bronze", "binance_trades"): inputs.bronze_trades(spark, sf_dir),
-        ("bronze", "alpaca_bars"): inputs.bronze_bars(spark, sf_dir),
-        ("silver", "trades"): clean,
-        ("silver", "quarantine_trades"): bad,
-        ("silver", "bars"): rules.bar_gate().passing(raw_bars),
-        ("silver", "quarantine_bars"): rules.bar_gate().quarantined(raw_bars),
-        ("gold", "daily_volume_profile"): daily_volume(clean),
-        ("gold", "market_quality"): with_metric_date(market_quality(clean)),
-        ("gold", "bars_5m"): gold_bars(inputs.minute_bars(spark, sf_dir), "5m")[0],
-    }
-
-
 def _stored_layers(spark, sf_dir) -> str:
-    """A root with the published tables stored, so that their counts come from the files."""
+    """A root with the published tables stored, each layer made from the stored one below; their counts come from the
+    files."""
     root = scratch_path(spark, "layers")
-    for (layer, name), rows in _counted(spark, sf_dir).items():
+
+    def put(layer: str, name: str, rows: DataFrame) -> DataFrame:
         spec = table(layer, name)
-        tables.append(tables.binned(conform(rows, spec), spec.partition_by), table_path(root, layer, name), spec.partition_by)
+        path = table_path(root, layer, name)
+        tables.append(tables.binned(conform(rows, spec), spec.partition_by), path, spec.partition_by)
+        return tables.read_table(spark, path, schema=spec.schema)
+
+    put("bronze", "binance_trades", inputs.bronze_trades(spark, sf_dir))
+    put("bronze", "alpaca_bars", inputs.bronze_bars(spark, sf_dir))
+    clean = put("silver", "trades", inputs.clean_trades(spark, sf_dir))
+    put("silver", "quarantine_trades", inputs.quarantined_trades(spark, sf_dir))
+    raw_bars = silver_bars(inputs.bronze_bars(spark, sf_dir))
+    put("silver", "bars", rules.bar_gate().passing(raw_bars))
+    put("silver", "quarantine_bars", with_metadata(rules.bar_gate().quarantined(raw_bars), AS_OF))
+    put("gold", "daily_volume_profile", daily_volume(clean))
+    put("gold", "market_quality", with_metric_date(market_quality(clean)))
+    put("gold", "bars_5m", gold_bars(one_minute_bars(clean), "5m")[0])
     return root
 
 
