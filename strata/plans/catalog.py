@@ -1126,7 +1126,7 @@ def job_vacuum(spark, sf_dir):
 # --------------------------------------------------------------------------- health
 
 
-def _stored_layers(spark, sf_dir) -> str:
+def stored_layers(spark, sf_dir) -> str:
     """A root with the published tables stored, each layer made from the stored one below; their counts come from the
     files."""
     root = scratch_path(spark, "layers")
@@ -1165,13 +1165,13 @@ UNION ALL SELECT 'strata_gold_bars_5m_records_total', 'gold', 'bars_5m', count(*
 
 @query("table_metrics", oracle.with_(_COUNTS_CTES, _COUNTS_SQL))
 def table_metrics(spark, sf_dir):
-    return health.stored_table_metrics(spark, _stored_layers(spark, sf_dir))
+    return health.stored_table_metrics(spark, stored_layers(spark, sf_dir))
 
 
 @query("quarantine_alert", oracle.with_(_COUNTS_CTES, f"""
 SELECT *, value > 0 AS firing FROM ({_COUNTS_SQL}) WHERE "table" LIKE 'quarantine%'"""))
 def quarantine_alert(spark, sf_dir):
-    return health.quarantine_alert(health.stored_table_metrics(spark, _stored_layers(spark, sf_dir)))
+    return health.quarantine_alert(health.stored_table_metrics(spark, stored_layers(spark, sf_dir)))
 
 
 _DRIVER_TABLES = (
