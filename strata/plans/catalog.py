@@ -133,7 +133,7 @@ def replay_history(spark, sf_dir):
 
 _ROTATION_SQL = """
 WITH RECURSIVE moments AS (
-  SELECT epoch_ms(TIMESTAMP '2024-01-01') + (epoch_ms(ts) - epoch_ms(TIMESTAMP '2024-01-01')) // 1000 AS ms FROM events),
+  SELECT epoch_ms(TIMESTAMP '2024-01-01') + (epoch_us(ts) // 1000 - epoch_ms(TIMESTAMP '2024-01-01')) // 1000 AS ms FROM events),
 numbered AS (SELECT ms, ms // 60000 AS m, row_number() OVER (PARTITION BY ms // 60000 ORDER BY ms) AS i FROM moments),
 fold AS (
   SELECT m, ms, i, CAST(0 AS BIGINT) AS file, CAST(1 AS BIGINT) AS held, ms AS opened FROM numbered WHERE i = 1
