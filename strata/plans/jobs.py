@@ -33,7 +33,8 @@ from strata.sources.tables import (
     append,
     append_missing,
     binned,
-    content,
+    by_content,
+    holds_files,
     insert_new,
     partition_filter,
     partition_values,
@@ -112,13 +113,14 @@ def bronze_to_silver(
         gate = _gate(kind, clock)
         clean, bad = table("silver", kind), table("silver", f"quarantine_{kind}")
         parsed = level is None
+        promoted = holds_files(spark, _path(root, clean))  # what this run inserts passes its rules, so it has not failed
         passing = gate.passing(typed, computed=parsed)
         if unique:
             _insert(spark, passing, root, clean, ("ingest_ts",))
         else:
             append(conform(passing, clean), _path(root, clean), clean.partition_by)
         failed = with_metadata(gate.quarantined(typed, computed=parsed), clock)
-        _enter(spark, conform(failed, bad), root, bad, promoted_to=clean)
+        _enter(spark, conform(failed, bad), root, bad, promoted_to=clean if promoted else None)
         if resume:
             consumed.note(spark, root, consumer, files, str(clock))
             _log(spark, root, clock, "silver_resume", source, files_read=len(files))
@@ -139,12 +141,16 @@ def _enter(
         read_if_exists(spark, _path(root, spec), schema=spec.schema),
         read_if_exists(spark, f"{_path(root, spec)}_exhausted", schema=spec.schema),
     ]
+    known = [k for k in known if k is not None]
+    fresh = unseen(failed, known, columns)
     if promoted_to is not None:
         clean = read_if_exists(spark, _path(root, promoted_to), schema=promoted_to.schema)
         if clean is not None:
-            days = [d for d in partition_values(failed, promoted_to.partition_by) if d is not None]
-            known.append(clean.filter(F.col(promoted_to.partition_by).isin(days)))
-    fresh = unseen(failed, [k for k in known if k is not None], columns)
+            if known:  # only days of rows that are left are looked through
+                fresh = stage(spark, fresh, "failed-fresh")
+            days = [d for d in partition_values(fresh, promoted_to.partition_by) if d is not None]
+            if days:
+                fresh = unseen(fresh, [clean.filter(F.col(promoted_to.partition_by).isin(days))], columns)
     append(binned(fresh, spec.partition_by), _path(root, spec), spec.partition_by)
 
 
@@ -228,7 +234,7 @@ def _replace_entries(spark: SparkSession, root: str, bad: TableSpec, entries: Da
     spelled = [s for width in widths for s in _spellings(width)]
     rebuilt = F.col("timeframe").isin(spelled) & F.col("bar_date").isin([d for d in days if d is not None])
     former = stage(spark, existing.filter(rebuilt), "gold-entries")
-    same = former.join(entries.select(content(*columns).alias("_now")).distinct(), content(*columns) == F.col("_now"), "left_semi")
+    same = by_content(former, entries, columns, "left_semi")
     fresh = unseen(entries, [former], columns)
     touched = sorted({*partition_values(former, bad.partition_by), *partition_values(fresh, bad.partition_by)})
     if not touched:

@@ -280,17 +280,25 @@ def merged_rows(existing: DataFrame, latest: DataFrame, key: tuple[str, ...]) ->
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
-def content(*columns: str) -> Column:
-    """What a row holds in some columns, as one value; NULL is a content like any other."""
-    return F.sha2(F.to_json(F.array(*(F.col(c).cast("string") for c in columns))), 256)
+def content(columns: list[str]) -> dict[str, Column]:
+    """What a row holds in some columns, as 128 bits of hashes; NULL is a content like any other."""
+    # Hashes skip NULL, so it is said beside.
+    values = [v for c in columns for v in (F.col(c), F.col(c).isNull())]
+    return {"_content_a": F.xxhash64(*values), "_content_b": F.xxhash64(F.lit(1), *values)}
+
+
+def by_content(rows: DataFrame, stored: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Semi or anti join of `rows` with stored rows of the same content in `columns`.
+
+    Hashes are made once a row, before the join, so that it neither moves nor compares texts."""
+    typed = stored.select(*(F.col(c).cast(rows.schema[c].dataType).alias(c) for c in columns))
+    marks = content(columns)
+    return rows.withColumns(marks).join(typed.select(*(m.alias(n) for n, m in marks.items())).distinct(), [*marks], how).drop(*marks)
 
 
 def unseen(rows: DataFrame, stored: list[DataFrame], columns: list[str]) -> DataFrame:
     """Rows whose content in `columns` none of the stored frames has; equal rows are kept together."""
-    for frame in stored:
-        known = frame.select(content(*columns).alias("_seen")).distinct()
-        rows = rows.join(known, content(*columns) == F.col("_seen"), "left_anti")
-    return rows
+    return reduce(lambda left, frame: by_content(left, frame, columns, "left_anti"), stored, rows)
 
 
 def insert_new(
