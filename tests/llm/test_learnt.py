@@ -144,3 +144,33 @@ def test_quality_keeps_the_class_shares_of_a_sample(spark, docs):
     models = [quality.fit(facts, per_class=60), quality.fit_documents(docs(rows), labels, per_class=60)]
     got = [quality.scored(docs(rows[:1]), model).first().score for model in models]
     assert abs(got[0] - got[1]) < 1e-9 and abs(got[1] - 8 / 9) < 0.05
+
+
+def test_the_quality_fit_is_a_few_jobs_and_ends_at_the_least_loss(spark):
+    """Every look at the loss was a job of its own, some 300 a fit, and they stopped short of the minimum."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.functions import array_to_vector
+
+    rnd = np.random.default_rng(4)
+    facts = (rnd.random((600, 12)) < 0.4).astype(float)
+    facts[:, 7] = facts[:, 3]
+    facts[:, 9] = 1.0
+    y = (facts[:, 3] + facts[:, 5] * 2 - facts[:, 1] + rnd.normal(0, 0.7, 600) > 0.6).astype(float)
+    weight = np.where(y == 1, 1.0, 2.5)
+    rows = [(float(a), float(w), f.tolist()) for a, w, f in zip(y, weight, facts, strict=True)]
+    frame = spark.createDataFrame(rows, "label double, weight double, facts array<double>").coalesce(1).cache()
+    frame.count()
+
+    def objective(weights, bias):
+        margin = facts @ weights + bias
+        return weight @ np.logaddexp(0, np.where(y == 1, -margin, margin)) / weight.sum() + 1e-3 * np.abs(weights).sum()
+
+    spark.sparkContext.setJobGroup("lassoed", "")
+    weights, bias = quality.lassoed(frame, 12, 1e-3)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("lassoed")
+    spark.sparkContext.setJobGroup("other", "")
+    exact = LogisticRegression(
+        elasticNetParam=1.0, regParam=1e-3, standardization=False, maxIter=1000, tol=1e-12, weightCol="weight"
+    ).fit(frame.select("label", "weight", array_to_vector("facts").alias("features")))
+    assert len(jobs) < 60
+    assert objective(weights, bias) <= objective(exact.coefficients.toArray(), exact.intercept) + 1e-6
