@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DecimalType, MapType, StringType, StructType
 
 from strata.operators.curve import with_morton_key
 from strata.session import scratch_root, session_conf
@@ -25,6 +26,7 @@ from strata.sources.tables import (
 TARGET_FILE_BYTES = 256 * 1024 * 1024
 # Shuffled rows are larger than the Parquet written from them; a file near the target needs more.
 SHUFFLE_TO_FILE = 3
+SORTED_BYTES = 512 * 1024 * 1024  # of rows in memory that one task of `cluster` orders
 
 
 def recent(column: str, as_of: date | datetime | str, days: int) -> Column:
@@ -63,6 +65,23 @@ def _bytes(spark: SparkSession, path: str, where: Column | None) -> int:
     return total or 0
 
 
+def _in_memory(df: DataFrame) -> int:
+    """About the bytes that the rows of a frame take in memory: what its text holds is summed up, all else is by type.
+
+    Stored bytes do not tell: repeated values pack to nothing in Parquet, but a sort holds each of them."""
+    fixed, held = 16, F.lit(0)  # of a row: its place in the order and its NULL bits
+    for field in df.schema.fields:
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        fixed += 8
+        if isinstance(kind, DecimalType) and kind.precision > 18:
+            fixed += 16
+        elif isinstance(kind, (StringType, BinaryType)):
+            held = held + F.coalesce(F.octet_length(column), F.lit(0)) + 8
+        elif isinstance(kind, (ArrayType, MapType, StructType)):
+            held = held + F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0))
+    return df.agg(F.coalesce(F.sum(held.cast("bigint") + fixed), F.lit(0))).first()[0]
+
+
 def ill_sized(
     spark: SparkSession, path: str, partition_by: str, where: Column | None, target_bytes: int
 ) -> list:
@@ -110,9 +129,13 @@ def cluster(
     target_bytes: int = TARGET_FILE_BYTES,
     curve: bool = True,
 ) -> None:
-    """Rewrite the matching partitions ordered by the cluster columns. Rows are unchanged."""
-    files = max(1, -(-_bytes(spark, path, where) // target_bytes))
-    ordered = clustered(_part(spark, path, where), partition_by, cluster_by, files, curve)
+    """Rewrite the matching partitions ordered by the cluster columns. Rows are unchanged.
+
+    A task writes what makes a file of the target size, or less where these rows take more than `SORTED_BYTES` in memory.
+    """
+    part = _part(spark, path, where)
+    files = max(1, -(-_bytes(spark, path, where) // target_bytes), -(-_in_memory(part) // SORTED_BYTES))
+    ordered = clustered(part, partition_by, cluster_by, files, curve)
     replace_partitions(spark, ordered, path, partition_by, rebalance=False)
 
 

@@ -325,6 +325,21 @@ def test_clustering_cuts_a_hot_symbol(spark, root):
     assert len(sizes) >= 5 and max(sizes) < 30000 / 2
 
 
+def test_clustering_bounds_what_a_task_sorts(spark, root, monkeypatch):
+    """Repeated values pack to nothing in files, but a sort holds each of them: stored bytes alone made one task."""
+    monkeypatch.setattr(layout, "SORTED_BYTES", 1 << 20, raising=False)
+    rows = spark.range(20_000).selectExpr(
+        "concat('S', id % 3) AS symbol", "repeat('same ', 40) AS note", "cast(7 AS decimal(38,18)) AS price",
+        "if(id % 2 = 0, null, array('a', 'b')) AS tags", "DATE'2026-01-01' AS day",
+    )
+    tables.append(rows, root, "day")
+    layout.cluster(spark, root, "day", ("symbol",))
+    stored = tables.read_table(spark, root)
+    counts = [r["count"] for r in stored.groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert len(counts) >= 5 and max(counts) < 20_000 / 3
+    assert multiset(stored) == multiset(rows)
+
+
 def test_retention_moves_old_days(spark, fragmented, tmp_path):
     all_rows = multiset(tables.read_table(spark, fragmented))
     archive = str(tmp_path / "archive")
