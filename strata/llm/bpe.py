@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from strata.llm.common import map_batches, utf8, worker_cache
 
 NONE = np.int32(2**31 - 1)  # ranks times positions stay below it
 LONGEST_ROW = 256  # bytes of a piece that is still merged as a row of a matrix
-CACHED = 400_000
+CACHED = 100_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -180,10 +181,11 @@ class Merges:
 
 
 def encode_texts(texts: list[str], merges: Merges, pattern, cache: dict[str, bytes]) -> list[bytes]:
-    """Ids of whole texts; `cache` keeps pieces already merged and is emptied when it is large."""
+    """Ids of whole texts; `cache` keeps pieces already merged; the older half goes when it is large."""
     split = [pattern.findall(text) for text in texts]
     if len(cache) > CACHED:
-        cache.clear()
+        for piece in list(islice(cache, len(cache) // 2)):
+            del cache[piece]
     missing = list(set().union(*split) - cache.keys())
     cache.update(zip(missing, merges.encode([m.encode() for m in missing]), strict=True))
     out = [b"".join(map(cache.__getitem__, pieces)) for pieces in split]
@@ -204,7 +206,8 @@ def encode(
     rows = df.select(*[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)], utf8(text_col).alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, cache = worker_cache(("bpe", ranks_path, pattern), lambda: (Merges(load_ranks(ranks_path)), {}))
+        merges = worker_cache(("bpe", ranks_path), lambda: Merges(load_ranks(ranks_path)))
+        cache: dict[str, bytes] = {}  # of one task: what a worker kept would stay in memory while other steps run
         split = regex.compile(pattern)
         token = {rank: text for text, rank in merges.ranks.items()} if back else {}
         for batch in batches:

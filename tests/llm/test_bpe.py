@@ -1,5 +1,8 @@
+import gc
 import hashlib
 import random
+import sys
+import time
 
 import numpy as np
 import public_tokenizers
@@ -42,3 +45,29 @@ def test_documents(spark, docs):
     once = bpe.encode(docs(rows), RANKS, public_tokenizers.PATTERN, keep=("doc_id", "id"), back=True)
     assert sorted(map(str, once.collect())) == sorted(map(str, out.collect())) and once.columns == out.columns
     assert bpe.encode(docs([]), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_few_pieces_are_held(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHED", 100)
+    cache, seen = {}, 0
+    for i in range(40):
+        text = " ".join(f"qz{i * 5 + j}qz" for j in range(20))
+        assert np.frombuffer(bpe.encode_texts([text], MERGES, SPLIT, cache)[0], "<u4").tolist() == KNOWN.encode_ordinary(text)
+        seen = max(seen, len(cache))
+    assert seen < 250 and bpe.CACHED < len(MERGES.ranks) * 2
+
+
+def test_workers_keep_no_pieces_after_their_task(spark, docs):
+    bpe.encode(docs([(1, "one qzqzmarker more")]), RANKS, public_tokenizers.PATTERN).collect()
+
+    def held(batches):
+        for batch in batches:
+            time.sleep(0.1)  # so that every worker gets a task
+            module = sys.modules.get("_strata_llm_worker")
+            reached, found = [vars(module)] if module else [], 0
+            for _ in range(3):
+                reached = gc.get_referents(*reached)
+                found += sum(" qzqzmarker" in o for o in reached if type(o) is dict)
+            yield batch.from_pydict({"found": [found]})
+
+    assert not any(r.found for r in spark.range(0, 32, 1, 32).mapInArrow(held, "found bigint").collect())
